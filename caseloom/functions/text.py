@@ -101,12 +101,18 @@ def normalise(c: Column) -> Column:
     return tidy_lines(nfkc(c))
 
 
-def contains_any(c: Column, words: tuple[str, ...]) -> Column:
-    """True when any word is a substring; word boundaries do not matter."""
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | c.contains(word)
-    return hit
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def contains_any(column: str, words: tuple[str, ...]) -> Column:
+    """True when any word is a substring; word boundaries do not matter.
+
+    Takes a column name: the chain is one SQL text, which is much quicker to put
+    together than a call per word.
+    """
+    return F.expr(" OR ".join(f"contains(`{column}`, {sql_text(word)})" for word in words))
 
 
 def fill(template: tuple[str, ...], **slots: Column) -> Column:

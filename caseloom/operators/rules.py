@@ -7,15 +7,21 @@ keeps one copy of the parsed form and every later rule reads it.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions.contacts import scan_email, scan_phone, valid_email, valid_phone
-from caseloom.functions.text import LINE_BREAK, blank_to_none, collapse_ws, contains_any, strip
+from caseloom.functions.text import (
+    LINE_BREAK,
+    blank_to_none,
+    collapse_ws,
+    contains_any,
+    sql_text,
+    strip,
+)
 from caseloom.operators.parsing import event_chunks, field_value, section_text
+from caseloom.plans.sealing import sealed
 
 CHUNKS = "_chunks"
 FORM_FIELDS = ("name", "email", "phone", "product")
@@ -27,20 +33,21 @@ def subject_text(description: Column, issue_details: Column, lower_document: Col
     return F.coalesce(F.nullif(own, F.lit("")), lower_document)
 
 
-def category_scores(subject: Column) -> Column:
-    """``array<struct<score, category>>`` over the categories that have keywords."""
-    by_category: dict[str, list[Column]] = {}
-    for category, keyword, weight in fv.CATEGORY_KEYWORDS:
-        hit = F.when(subject.contains(keyword), F.lit(weight)).otherwise(F.lit(0))
+def category_scores(subject: str, keywords=fv.CATEGORY_KEYWORDS) -> Column:
+    """``array<struct<score, category>>`` over the categories that have keywords.
+
+    ``keywords`` is a short list of ``(category, keyword, weight)``; ``rule_table`` takes
+    tables of any length.
+    """
+    by_category: dict[str, list[str]] = {}
+    for category, keyword, weight in keywords:
+        hit = f"IF(contains(`{subject}`, {sql_text(keyword)}), {int(weight)}, 0)"
         by_category.setdefault(category, []).append(hit)
-    return F.array(
-        *(
-            F.struct(
-                reduce(lambda a, b: a + b, hits).alias("score"), F.lit(category).alias("category")
-            )
-            for category, hits in by_category.items()
-        )
+    scored = (
+        f"struct({' + '.join(hits)} AS score, {sql_text(category)} AS category)"
+        for category, hits in by_category.items()
     )
+    return F.expr(f"array({', '.join(scored)})")
 
 
 def top_category(scores: Column) -> Column:
@@ -49,32 +56,36 @@ def top_category(scores: Column) -> Column:
     return F.when(best["score"] > 0, best["category"]).otherwise(F.lit("Other"))
 
 
-def is_enquiry(lower_document: Column) -> Column:
-    return contains_any(lower_document, fv.ENQUIRY_MARKERS)
+# The decision tables take names of lower-case text columns.
 
 
-def decide_escalation(escalation: Column, description: Column) -> Column:
-    """Both arguments lower-case. A refusal in the section beats everything else."""
+def is_enquiry(document: str) -> Column:
+    return contains_any(document, fv.ENQUIRY_MARKERS)
+
+
+def decide_escalation(escalation: str, description: str) -> Column:
+    """A refusal in the escalation section beats everything else."""
+    stated = F.col(escalation) != ""
     return (
-        F.when((escalation != "") & contains_any(escalation, fv.ESCALATION_DENIED), F.lit(False))
-        .when((escalation != "") & contains_any(escalation, fv.ESCALATION_ASKED), F.lit(True))
+        F.when(stated & contains_any(escalation, fv.ESCALATION_DENIED), F.lit(False))
+        .when(stated & contains_any(escalation, fv.ESCALATION_ASKED), F.lit(True))
         .otherwise(contains_any(description, fv.ESCALATION_IN_DESCRIPTION))
     )
 
 
-def decide_status(escalated: Column, resolution: Column, lower_document: Column) -> Column:
-    """``resolution`` lower-case. Pending work is looked for before finished work."""
+def decide_status(escalated: Column, resolution: str, document: str) -> Column:
+    """Pending work is looked for before finished work."""
     return (
         F.when(escalated, "Escalated")
-        .when(resolution == "", "Open")
+        .when(F.col(resolution) == "", "Open")
         .when(contains_any(resolution, fv.WORK_PENDING), "In Progress")
-        .when(contains_any(lower_document, fv.CASE_CLOSED), "Closed")
+        .when(contains_any(document, fv.CASE_CLOSED), "Closed")
         .when(contains_any(resolution, fv.WORK_DONE), "Resolved")
         .otherwise("In Progress")
     )
 
 
-def decide_sentiment(subject: Column, escalated: Column, enquiry: Column) -> Column:
+def decide_sentiment(subject: str, escalated: Column, enquiry: Column) -> Column:
     angry = F.when(escalated, "Very Negative").otherwise("Negative")
     return (
         F.when(contains_any(subject, fv.STRONGLY_NEGATIVE), "Very Negative")
@@ -93,8 +104,7 @@ def decide_priority(escalated: Column, status: Column, sentiment: Column) -> Col
     )
 
 
-def supporting_document(supporting: Column, description: Column) -> Column:
-    """Both arguments lower-case."""
+def supporting_document(supporting: str, description: str) -> Column:
     return contains_any(supporting, fv.EVIDENCE_WORDS) | contains_any(
         description, fv.EVIDENCE_IN_DESCRIPTION
     )
@@ -183,16 +193,16 @@ def with_rule_outcome(df: DataFrame) -> DataFrame:
     c = F.col
     df = df.select(
         "*",
-        is_enquiry(c("lower_document")).alias("enquiry"),
-        category_scores(c("subject")).alias("scores"),
-        decide_escalation(c("l_escalation"), c("l_description")).alias("escalated"),
-        supporting_document(c("l_supporting"), c("l_description")).alias("supporting"),
+        is_enquiry("lower_document").alias("enquiry"),
+        category_scores("subject").alias("scores"),
+        decide_escalation("l_escalation", "l_description").alias("escalated"),
+        supporting_document("l_supporting", "l_description").alias("supporting"),
     )
     df = df.select(
         "*",
         F.when(c("enquiry"), "General Enquiry").otherwise(top_category(c("scores"))).alias("category"),
-        decide_status(c("escalated"), c("l_resolution"), c("lower_document")).alias("case_status"),
-        decide_sentiment(c("subject"), c("escalated"), c("enquiry")).alias("sentiment"),
+        decide_status(c("escalated"), "l_resolution", "lower_document").alias("case_status"),
+        decide_sentiment("subject", c("escalated"), c("enquiry")).alias("sentiment"),
     )
     return df.select(
         "*", decide_priority(c("escalated"), c("case_status"), c("sentiment")).alias("priority")
@@ -216,7 +226,7 @@ def with_rule_extraction(df: DataFrame, document: str, into: str = "extraction")
         build_notes(fields, c("s_resolution")).alias("x_notes"),
         "enquiry", "category", "escalated", "supporting", "case_status", "priority", "sentiment",
     )
-    return df.select(
+    df = df.select(
         *keep,
         F.struct(
             c("x_name").alias("customer_name"),
@@ -235,3 +245,4 @@ def with_rule_extraction(df: DataFrame, document: str, into: str = "extraction")
             c("x_notes").alias("extraction_notes"),
         ).alias(into),
     )
+    return sealed(df, into)

@@ -15,6 +15,7 @@ from caseloom import fixed_values as fv
 from caseloom.functions.contacts import valid_email, valid_phone
 from caseloom.functions.text import blank_to_none, collapse_ws
 from caseloom.operators.drafting import clean_email, clean_summary
+from caseloom.plans.sealing import sealed
 from caseloom.schemas import CASE_SUMMARY, CUSTOMER_EMAIL, EXTRACTION
 
 VOCABULARIES = {
@@ -133,8 +134,9 @@ def read_responses(df: DataFrame, task: str, answer: str, into: str | None = Non
         .otherwise(problems)
     )
     df = df.select(*keep, "_raw", violations.alias(f"{into}_violations"))
-    return df.select(
+    df = df.select(
         *keep,
         F.when(F.size(f"{into}_violations") == 0, clean(raw)).alias(into),
         f"{into}_violations",
     )
+    return sealed(df, into, f"{into}_violations")

@@ -1,0 +1,15 @@
+"""Giving every core a share of a small input."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition only when the input has fewer splits than the cluster has cores.
+
+    Text rules are CPU-bound, and a small file is a single split. Large inputs have
+    splits enough and are left where they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

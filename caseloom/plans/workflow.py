@@ -26,6 +26,7 @@ from caseloom.operators.inference import (
 )
 from caseloom.operators.parsing import rule_view
 from caseloom.operators.rules import with_rule_extraction
+from caseloom.plans.sealing import sealed
 from caseloom.schemas import CASES, META, USAGE
 from caseloom.storage import settle
 
@@ -41,7 +42,7 @@ def load_texts(df: DataFrame) -> DataFrame:
     empty = F.when(
         F.col("text") == "", F.concat(F.col("source_file"), F.lit(fv.EMPTY_DOCUMENT_SUFFIX))
     )
-    return df.withColumn("load_error", F.coalesce(earlier, empty))
+    return sealed(df.withColumn("load_error", F.coalesce(earlier, empty)), "text", "load_error")
 
 
 def truncate(text: Column, max_chars: int) -> Column:
@@ -219,7 +220,8 @@ def finish(df: DataFrame) -> DataFrame:
         "task_durations_seconds": durations,
         "usage": F.col("usage"),
     }
-    return df.select(*(parts[f.name].cast(f.dataType).alias(f.name) for f in CASES.fields))
+    df = df.select(*(parts[f.name].cast(f.dataType).alias(f.name) for f in CASES.fields))
+    return sealed(df, *CASES.fieldNames())
 
 
 def assemble(cases: DataFrame, emails: DataFrame, summaries: DataFrame, key: str) -> DataFrame:
