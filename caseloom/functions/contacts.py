@@ -17,12 +17,13 @@ PHONE_DIGITS = (7, 15)
 
 
 def _first_match(c: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, 0), F.lit(""))
+    return F.regexp_substr(c, F.lit(pattern))
 
 
 def scan_email(field: Column, document: Column) -> Column:
     """First address in the field, or in the whole document if that is blank."""
-    return _first_match(F.coalesce(F.nullif(field, F.lit("")), document), EMAIL_SCAN)
+    source = F.when(field == "", document).otherwise(field)
+    return F.when(source.contains("@"), _first_match(source, EMAIL_SCAN))
 
 
 def scan_phone(field: Column) -> Column:

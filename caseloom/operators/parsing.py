@@ -57,59 +57,70 @@ def canonical_label(label: Column) -> Column:
 
 
 def event_chunks(document: Column) -> Column:
-    """One array element per event line, preceded by the unlabelled preamble."""
-    lines = F.concat(F.lit("\n"), compact_lines(document))
-    return F.split(F.regexp_replace(lines, EVENT_LINE, "\n\n$1$2\n $3"), "\n\n")
-
+    """The events of a document in order: ``array<struct<label, value, rest>>``.
 
-def chunk_label(chunk: Column) -> Column:
-    return canonical_label(F.substring_index(chunk, "\n", 1))
+    ``label`` is lower-case, ``value`` the raw inline value behind one space, ``rest``
+    the lines that follow, null when there are none. The unlabelled preamble comes first
+    as an element without a value.
+    """
+    lines = F.concat(F.lit("\n"), compact_lines(document))
+    chunks = F.split(F.regexp_replace(lines, EVENT_LINE, "\n\n$1$2\n $3"), "\n\n")
+    parts = F.transform(chunks, lambda chunk: F.split(chunk, "\n", 3))
+    return F.transform(
+        parts,
+        lambda p: F.struct(
+            F.lower(F.get(p, F.lit(0))).alias("label"),
+            F.get(p, F.lit(1)).alias("value"),
+            F.get(p, F.lit(2)).alias("rest"),
+        ),
+    )
 
 
 def classify_lines(document: Column) -> Column:
-    """The events of a document: ``array<struct<label, canonical, value>>``."""
-    chunks = event_chunks(document)
-    events = F.slice(chunks, F.lit(2), F.size(chunks))
+    """The event lines: ``array<struct<label, canonical, value>>``."""
 
-    def describe(chunk: Column) -> Column:
-        label = F.lower(F.substring_index(chunk, "\n", 1))
-        value = F.regexp_extract(chunk, r"^[^\n]*\n ([^\n]*)", 1)
+    def describe(event: Column) -> Column:
         return F.struct(
-            label.alias("label"),
-            canonical_label(label).alias("canonical"),
-            clean_value(value).alias("value"),
+            event["label"].alias("label"),
+            canonical_label(event["label"]).alias("canonical"),
+            clean_value(event["value"]).alias("value"),
         )
 
-    return F.transform(events, describe)
+    known = F.filter(
+        F.transform(event_chunks(document), describe), lambda e: e["canonical"].isNotNull()
+    )
+    return known
 
 
 def field_value(chunks: Column, name: str) -> Column:
-    """Value of a field: its first occurrence, even when that one is blank.
+    """Raw value of a field: its first occurrence, even when that one is blank.
 
-    Null when the document has no such label.
+    Null when the document has no such label. ``clean_value`` makes it final.
     """
-    own = F.filter(chunks, lambda c: _has_label(c, fv.FIELD_LABELS[name]))
-    return clean_value(F.regexp_extract(F.get(own, F.lit(0)), r"^[^\n]*\n ([^\n]*)", 1))
+    own = F.filter(chunks, lambda e: e["label"].isin(*fv.FIELD_LABELS[name]))
+    return F.get(own, F.lit(0))["value"]
 
 
 def section_text(chunks: Column, name: str) -> Column:
-    """Text of a section: every line of all its occurrences, joined by spaces.
+    """Raw text of a section: the lines of all its occurrences, joined by spaces.
 
-    Null when the document has no such heading.
+    '' when there are none. ``clean_value`` makes it final.
     """
-    own = F.filter(chunks, lambda c: _has_label(c, fv.SECTION_LABELS[name]))
-
-    def body(chunk: Column) -> Column:
-        value = clean_value(F.regexp_extract(chunk, r"^[^\n]*\n ([^\n]*)", 1))
-        rest = F.translate(F.regexp_extract(chunk, r"(?s)^[^\n]*\n [^\n]*\n(.*)", 1), "\n", " ")
-        return F.concat_ws(" ", F.nullif(value, F.lit("")), F.nullif(rest, F.lit("")))
+    own = F.filter(chunks, lambda e: e["label"].isin(*fv.SECTION_LABELS[name]))
+
+    def body(event: Column) -> Column:
+        rest = F.replace(event["rest"], F.lit("\n"), F.lit(" "))
+        inline = F.nullif(clean_value(event["value"]), F.lit(""))
+        # Most headings stand alone; only the others need their value looked at.
+        return F.when(event["value"] == " ", rest).otherwise(
+            F.nullif(F.concat_ws(" ", inline, rest), F.lit(""))
+        )
 
-    pieces = F.filter(F.transform(own, body), lambda p: p != "")
-    return F.when(F.size(own) > 0, clean_value(F.array_join(pieces, " ")))
+    return F.array_join(F.transform(own, body), " ")
 
 
-def _has_label(chunk: Column, labels: tuple[str, ...]) -> Column:
-    return F.lower(F.substring_index(chunk, "\n", 1)).isin(*labels)
+def has_section(chunks: Column, name: str) -> Column:
+    return F.exists(chunks, lambda e: e["label"].isin(*fv.SECTION_LABELS[name]))
 
 
 def _present(names: list[str], value_of) -> Column:
@@ -121,12 +132,15 @@ def _present(names: list[str], value_of) -> Column:
 
 def parse_fields(chunks: Column) -> Column:
     """``map<field, value>`` of the labels the document has."""
-    return _present(list(fv.FIELD_LABELS), lambda n: field_value(chunks, n))
+    return _present(list(fv.FIELD_LABELS), lambda n: clean_value(field_value(chunks, n)))
 
 
 def parse_sections(chunks: Column) -> Column:
     """``map<section, text>`` of the headings the document has."""
-    return _present(list(fv.SECTION_LABELS), lambda n: section_text(chunks, n))
+    return _present(
+        list(fv.SECTION_LABELS),
+        lambda n: F.when(has_section(chunks, n), clean_value(section_text(chunks, n))),
+    )
 
 
 def extract_block(prompt: Column, tag: str) -> Column:

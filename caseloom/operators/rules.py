@@ -15,6 +15,7 @@ from caseloom.functions.contacts import scan_email, scan_phone, valid_email, val
 from caseloom.functions.text import (
     LINE_BREAK,
     blank_to_none,
+    clean_value,
     collapse_ws,
     contains_any,
     sql_text,
@@ -167,15 +168,21 @@ def with_parsed_form(df: DataFrame, document: str) -> DataFrame:
 
     Missing and blank values are both ''.
     """
+    keep = df.columns
     df = df.select("*", event_chunks(F.col(document)).alias(CHUNKS))
     chunks = F.col(CHUNKS)
     empty = F.lit("")
     df = df.select(
         "*",
         *(F.coalesce(field_value(chunks, n), empty).alias(f"f_{n}") for n in FORM_FIELDS),
-        *(F.coalesce(section_text(chunks, n), empty).alias(f"s_{n}") for n in fv.SECTION_LABELS),
+        *(section_text(chunks, n).alias(f"s_{n}") for n in fv.SECTION_LABELS),
+    )
+    raw = [*(f"f_{n}" for n in FORM_FIELDS), *(f"s_{n}" for n in fv.SECTION_LABELS)]
+    df = df.select(
+        *keep,
+        *(clean_value(F.col(name)).alias(name) for name in raw),
         F.lower(document).alias("lower_document"),
-    ).drop(CHUNKS)
+    )
     return df.select(
         "*",
         F.lower("s_description").alias("l_description"),
@@ -215,13 +222,20 @@ def with_rule_extraction(df: DataFrame, document: str, into: str = "extraction")
     df = with_rule_outcome(with_parsed_form(df, document))
     c = F.col
     fields = {n: c(f"f_{n}") for n in FORM_FIELDS}
+    # Searches of long text get a layer of their own, so that they run once each.
+    df = df.select(
+        "*",
+        scan_email(c("f_email"), c(document)).alias("found_email"),
+        scan_phone(c("f_phone")).alias("found_phone"),
+        pick_issue(c("s_description"), c("s_issue_details"), c(document)).alias("issue"),
+    )
     df = df.select(
         *keep,
         blank_to_none(c("f_name")).alias("x_name"),
-        valid_email(scan_email(c("f_email"), c(document))).alias("x_email"),
-        valid_phone(scan_phone(c("f_phone"))).alias("x_phone"),
+        valid_email(c("found_email")).alias("x_email"),
+        valid_phone(c("found_phone")).alias("x_phone"),
         blank_to_none(c("f_product")).alias("x_product"),
-        collapse_ws(pick_issue(c("s_description"), c("s_issue_details"), c(document))).alias("x_issue"),
+        collapse_ws(c("issue")).alias("x_issue"),
         blank_to_none(c("s_resolution")).alias("x_resolution"),
         build_notes(fields, c("s_resolution")).alias("x_notes"),
         "enquiry", "category", "escalated", "supporting", "case_status", "priority", "sentiment",
