@@ -33,13 +33,13 @@ def _either(labels: list[str]) -> str:
 
 _SECTION_ANY = _either([x for names in fv.SECTION_LABELS.values() for x in names])
 _FIELD_ANY = _either([x for names in fv.FIELD_LABELS.values() for x in names])
-_B = f"[{BLANKS}]*"
-_INLINE_HEAD = rf"[-*]?{_B}\**{_B}"
-_INLINE_TAIL = rf"{_B}\**{_B}[:|]{_B}"
+# Possessive, so that a long run of blanks is looked at once.
+_B = f"[{BLANKS}]*+"
+_MARKS = rf"{_B}\**+{_B}"
 
 EVENT_LINE = (
-    rf"(?i)\n(?:#{{0,6}}{_B}\**{_B}({_SECTION_ANY}){_B}\**{_B}:?{_B}"
-    rf"|{_INLINE_HEAD}({_SECTION_ANY}|{_FIELD_ANY}){_INLINE_TAIL}([^\n]*))(?=\n|\z)"
+    rf"(?i)\n(?:#{{0,6}}{_MARKS}({_SECTION_ANY}){_MARKS}:?{_B}"
+    rf"|[-*]?{_MARKS}({_SECTION_ANY}|{_FIELD_ANY}){_MARKS}[:|]{_B}([^\n]*))(?=\n|\z)"
 )
 
 

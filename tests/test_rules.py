@@ -76,6 +76,13 @@ def test_parser_quirks(spark):
     assert row.s == {"issue_details": "first second", "escalation": "none yet"}
 
 
+def test_long_blank_runs_in_lines_stay_linear(spark):
+    doc = "- " + " " * 100_000 + "x\n#" + " " * 100_000 + "Details" + " " * 100_000 + "x\n" + "Name" + " " * 100_000 + ": Ann"
+    df = spark.createDataFrame([(doc,)], "d string").coalesce(1)
+    df = df.select(parsing.event_chunks(F.col("d")).alias("c"))
+    assert df.select(parsing.parse_fields(F.col("c")).alias("f")).first().f == {"name": "Ann"}
+
+
 def test_ties_and_substrings(spark):
     texts = ["a refund and a delivery", "courier of a faulty item", "happy", "awaiting", "nothing"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1)
