@@ -9,30 +9,30 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 FORM = """\
-CUSTOMER CASE RECORD
-====================
+SERVICE DESK RECORD
+-------------------
 
-Reference: CMP-2025-9001
-Customer Name: Priya Sharma
-Email: priya.sharma@example.com
-Phone: +91 98765 43210
-Product / Service: Prime Home Broadband
+Reference: D-17
+Customer Name: Lena Fischer
+Email: lena.fischer@example.com
+Phone: +49 30 1234567
+Product / Service: Prime Fibre Line
 
 Complaint Description:
-I was billed twice for the month of February. Two charges of Rs. 1,499 were
-taken from my account. I have attached copies of both invoices.
+My card was billed twice in May and I want one payment back. Copies of
+both invoices are attached to this letter.
 
 Issue Details:
-Duplicate charge confirmed by the billing team.
+Billing found a duplicate charge for the month.
 
 Resolution Provided:
-A refund of Rs. 1,499 was approved and processed to the original payment method.
+One payment was credited and the customer confirmed it.
 
 Escalation:
-Not required. Resolved at first line.
+Not required.
 
 Supporting Information:
-Invoice INV-20250203 and a bank statement extract.
+Two invoices and a card statement.
 """
 
 

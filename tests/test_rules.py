@@ -20,8 +20,8 @@ def extract(spark, texts):
 
 def test_labelled_fields(spark, form):
     (x,) = extract(spark, [form])
-    assert (x.customer_name, x.email) == ("Priya Sharma", "priya.sharma@example.com")
-    assert (x.product_or_service, x.complaint_category) == ("Prime Home Broadband", "Billing")
+    assert (x.customer_name, x.email) == ("Lena Fischer", "lena.fischer@example.com")
+    assert (x.product_or_service, x.complaint_category) == ("Prime Fibre Line", "Billing")
     assert x.supporting_document_available and not x.escalation_required
     assert (x.overall_case_status, x.priority, x.customer_sentiment) == ("Resolved", "Low", "Neutral")
 
@@ -140,9 +140,9 @@ def test_rendering(spark, form):
         drafting.render_email(drafting.build_email(x)).alias("e"),
         drafting.render_summary(drafting.build_summary(x)).alias("s"),
     ).first()
-    assert row.e.startswith("Subject: Your billing case — Resolved\n\nDear Priya Sharma,\n\nThank you")
+    assert row.e.startswith("Subject: Your billing case — Resolved\n\nDear Lena Fischer,\n\nThank you")
     assert row.e.endswith("\n\nKind regards,\nCustomer Support Team\n")
-    assert row.s.startswith("Case Overview\n-------------\nBilling complaint raised by Priya Sharma")
+    assert row.s.startswith("Case Overview\n-------------\nBilling complaint raised by Lena Fischer")
 
 
 def test_rules_plan_is_one_narrow_stage(spark, form):

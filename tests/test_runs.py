@@ -95,7 +95,7 @@ def test_batch_files_limit_and_collisions(spark, tmp_path, form):
     inside, out = tmp_path / "in", tmp_path / "out"
     inside.mkdir()
     for name in ("a.md", "a.txt", "b.txt", "c.txt"):
-        _put(inside, name, form.replace("Priya Sharma", name))
+        _put(inside, name, form.replace("Lena Fischer", name))
     result = run_batch(spark, str(inside), str(out), limit=3, layout="files")
     assert sorted(_by_file(result.cases)) == ["a.md", "a.txt", "b.txt"]
     assert report.case_id_collisions(result.cases).first().asDict() == {
@@ -196,7 +196,7 @@ def test_wrong_options(spark, form):
 
 
 def test_stream_equals_batch(spark, tmp_path, form):
-    rows = [(f"c{i}.txt", form.replace("Priya", f"P{i}") if i % 3 else "  ") for i in range(12)]
+    rows = [(f"c{i}.txt", form.replace("Lena", f"P{i}") if i % 3 else "  ") for i in range(12)]
     schema = "source_file string, text string"
     source = str(tmp_path / "arriving")
     spark.createDataFrame(rows, schema).repartition(3).write.parquet(source)
