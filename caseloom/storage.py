@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINTS = "spark.checkpoint.dir"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it then gets a temporary folder of its own.
+    Only a session in one process may go without; it gets a folder in its warehouse.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get(CHECKPOINTS, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="caseloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"{CHECKPOINTS} must name a folder every executor can reach")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    spark.conf.set(CHECKPOINTS, own)
     return own
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/caseloom/{spark.sparkContext.applicationId}"
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/caseloom/{uuid.uuid4().hex}/{name}"
+    return f"{_run_dir(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -38,3 +43,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_settled(spark: SparkSession) -> bool:
+    """Delete what this application settled; results that read it must be done with."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
