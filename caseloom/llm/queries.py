@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import exact_dedup, sharding, url_filter
+from caseloom.llm import exact_dedup, line_dedup, sharding, substring_dedup, toxicity, url_filter
 
 # The rules of the URL contract.
 URL_RULES = (
@@ -21,6 +21,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    done = substring_dedup.substring_dedup(docs)
+    return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = _documents(spark, sf_dir).select(
@@ -34,6 +40,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     labelled = url_filter.rule_labels(pages, "url", URL_RULES)
@@ -50,8 +61,37 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Labels are learned from two thirds of the ids; the others are held out.
+HELD_OUT = F.lit(1)
+
+
+def _fold(key: str):
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(3))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = labels.where(_fold("doc_id") != HELD_OUT).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.train(_documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (_fold("doc_id") == HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "distance",
+    )
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_toxicity": op9_toxicity,
 }

@@ -45,6 +45,57 @@ SELECT doc_id,
 FROM t
 """
 
+SUBSTRING_DEDUP = r"""
+WITH words AS (
+  SELECT doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50
+), windows AS (
+  SELECT doc_id, i,
+         min(doc_id) OVER (PARTITION BY array_to_string(list_slice(w, i, i + 49), ' ')) < doc_id AS later
+  FROM starts
+), positions AS (
+  SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+), marked AS (
+  SELECT p.doc_id, p.word, p.i,
+         coalesce(max(CAST(later AS INTEGER)) OVER (
+           PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+  FROM positions p LEFT JOIN windows s ON p.doc_id = s.doc_id AND p.i = s.i
+), kept AS (
+  SELECT doc_id, sum(gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), common AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT d.doc_id, d.line, d.i, coalesce(c.last > d.doc_id, false) AS gone
+  FROM keyed d LEFT JOIN common c ON d.k = c.k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 SQL = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
+    "op3_line_dedup": LINE_DEDUP,
     "op5_exact_dedup": EXACT_DEDUP,
 }
