@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import exact_dedup, line_dedup, sharding, substring_dedup, toxicity, url_filter
+from caseloom.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    near_dedup,
+    pattern_packing,
+    sharding,
+    substring_dedup,
+    token_output,
+    toxicity,
+    url_filter,
+)
+from caseloom.llm.tokens import vocabulary
 
 # The rules of the URL contract.
 URL_RULES = (
@@ -61,6 +73,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return token_output.packed_sequences(docs, vocabulary())
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return near_dedup.near_duplicates(docs).select("doc_id", "class_id", "kept")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontamination.overlaps(docs, benchmark)
+
+
 #: Labels are learned from two thirds of the ids; the others are held out.
 HELD_OUT = F.lit(1)
 
@@ -87,11 +115,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return pattern_packing.pack_documents(docs, vocabulary())
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_output": op6_token_output,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
+    "op10_pattern_packing": op10_pattern_packing,
 }

@@ -164,3 +164,26 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
 def column_of(table: pa.Table, name: str) -> pa.Array:
     found = table.column(name).combine_chunks()
     return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
+
+
+class Tokens:
+    """Words without case and punctuation: letters and digits only, lower-cased.
+
+    ``hashes`` holds one number per token, text after text; words without any letter or
+    digit are left out. ``first[d]`` to ``first[d + 1]`` are the tokens of text ``d``.
+    """
+
+    def __init__(self, texts: pa.Array):
+        words = Words(texts)
+        plain = pc.utf8_lower(pc.replace_substring_regex(words.dictionary, r"[^\p{L}\p{N}]+", ""))
+        filled = np.asarray(pc.binary_length(plain)).astype(np.int64)[words.ids] > 0
+        self.hashes = hash_strings(plain)[words.ids][filled]
+        self.of_text = words.of_text[filled]
+        self.first = np.searchsorted(self.of_text, np.arange(len(texts) + 1)).astype(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def room(self) -> np.ndarray:
+        """How many tokens of its text follow from each token on, itself included."""
+        return np.repeat(self.first[1:], self.first[1:] - self.first[:-1]) - np.arange(len(self))
