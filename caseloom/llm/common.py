@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The ASCII white space of the contracts, as a Java and Python pattern.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -15,11 +16,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def need(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, so that extra ones can neither clash nor be read."""
-    return df.select(*columns)
-
-
 def fan_out(df: DataFrame, column: str, n: int) -> DataFrame:
     """Every row ``n`` times, numbered in ``column``."""
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(column))
+
+
+def widened(schema: T.StructType, **kinds: str) -> T.StructType:
+    """A new schema with more columns at its end."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in kinds.items():
+        out.add(name, kind)
+    return out

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import fan_out
+from caseloom.llm.common import fan_out, widened
 from caseloom.llm.words import chunks, column_of, mixed
 from caseloom.storage import settle
 
@@ -183,7 +183,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["id", "mark", "digest"]).filter(pa.array(drops))
 
 
-def _drop(min_chars: int):
+def _drop(min_chars: int, carried: list[str]):
     """Documents and the digests they lose to what is left of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +207,10 @@ def _drop(min_chars: int):
                     dropped.append(0)
                 kept.append(text)
             yield pa.RecordBatch.from_arrays(
-                [column_of(table, "id"), column_of(table, "mark"), pa.array(counts, pa.int64()),
+                [*(column_of(table, name) for name in ("id", "mark", *carried)), pa.array(counts, pa.int64()),
                  pa.array(dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
                  pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())],
-                names=["id", "mark", "n_lines", "n_dropped", "kept", "kept_sha256"],
+                names=["id", "mark", *carried, "n_lines", "n_dropped", "kept", "kept_sha256"],
             )
 
     return run
@@ -218,9 +218,12 @@ def _drop(min_chars: int):
 
 def line_dedup(
     docs: DataFrame, key: str = "doc_id", text: str = "text", *,
-    min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS, salts: int = SALTS,
+    carry: Sequence[str] = (), min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+    shard_keys: int = SHARD_KEYS, salts: int = SALTS,
 ) -> DataFrame:
-    """``key, mark, n_lines, n_dropped, kept, kept_sha256``, one row per row of ``docs``.
+    """``key, mark``, the columns named by ``carry``, and ``n_lines, n_dropped, kept, kept_sha256``.
+
+    One row per row of ``docs``.
 
     Lines end at ``\\n``. Lines whose key (see ``line_keys``) has at least ``min_chars``
     code points and occurs in at least ``min_docs`` documents are dropped, except in the
@@ -228,14 +231,17 @@ def line_dedup(
 
     Null and empty texts are one empty line. Every row is a document; a null key counts
     as smaller than any other; rows that repeat the largest key all keep the line.
-    ``mark`` tells apart rows that share a key but not a text. Other columns are not read.
+    ``mark`` tells apart rows that share a key but not a text. Other columns are not read;
+    carried ones may have any name.
     """
     work = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
         F.xxhash64(text).alias("mark"),
         F.col(text).alias("text"),
+        *(F.col(name).alias(f"own_{name}") for name in carry),
     )
-    sent = work.mapInArrow(_send(min_chars), "digest binary, id long, mark long")
+    own = [f"own_{name}" for name in carry]
+    sent = work.select("id", "mark", "text").mapInArrow(_send(min_chars), "digest binary, id long, mark long")
     common = sent.groupBy("digest").agg(F.count("*").alias("n"), F.max("id").alias("last"))
     common = settle(common.where(F.col("n") >= min_docs), "common-lines")
     shards = max(LEAST_SHARDS, -(-common.count() // shard_keys))
@@ -254,9 +260,28 @@ def line_dedup(
     lost = dealt.mapInArrow(_probe, "id long, mark long, digest binary")
     # A row repeated as a whole probes as often; its list then only repeats.
     lost = lost.groupBy("id", "mark").agg(F.collect_set("digest").alias("gone"))
-    done = work.join(lost, ["id", "mark"], "left").mapInArrow(
-        _drop(min_chars), "id long, mark long, n_lines long, n_dropped long, kept string, kept_sha256 string"
+    schema = widened(
+        work.select("id", "mark", *own).schema, n_lines="long", n_dropped="long", kept="string", kept_sha256="string"
     )
+    done = work.join(lost, ["id", "mark"], "left").mapInArrow(_drop(min_chars, own), schema)
     return done.select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias(key), "mark", "n_lines", "n_dropped", "kept", "kept_sha256"
+        F.when(F.col("id") != NO_ID, F.col("id")).alias(key),
+        "mark",
+        *(F.col(f"own_{name}").alias(name) for name in carry),
+        "n_lines", "n_dropped", "kept", "kept_sha256",
     )
+
+
+def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with their lines dropped, all other columns as they were."""
+    others = [name for name in docs.columns if name not in (key, text)]
+    done = line_dedup(docs, key, text, carry=others, **options)
+    columns = []
+    for name in docs.columns:
+        if name == key:
+            columns.append(done[0].alias(key))
+        elif name == text:
+            columns.append(done[2 + len(others) + 2].alias(text))
+        else:
+            columns.append(done[2 + others.index(name)].alias(name))
+    return done.select(*columns)

@@ -442,3 +442,11 @@ def _classes(members: DataFrame, key: str) -> DataFrame:
         shown(F.col("id")).alias(key), "mark", shown(F.col("head.id")).alias("class_id"),
         (own == F.col("head")).alias("kept"),
     )
+
+
+def one_of_each_class(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns."""
+    kept = near_duplicates(docs, key, text, **options).where("kept")
+    kept = kept.select(F.col(key).alias("_key"), F.col("mark").alias("_mark")).distinct()
+    same = docs[key].eqNullSafe(kept["_key"]) & (F.xxhash64(docs[text]) == kept["_mark"])
+    return docs.join(kept, same, "left_semi")

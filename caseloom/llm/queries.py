@@ -97,15 +97,15 @@ def _fold(key: str):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(3))
 
 
-def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.ToxicityModel:
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labels = labels.where(_fold("doc_id") != HELD_OUT).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity.train(_documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir))
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
     return scored.select(
         "doc_id",
         (_fold("doc_id") == HELD_OUT).alias("held_out"),

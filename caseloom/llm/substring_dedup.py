@@ -323,8 +323,7 @@ def repeated_ranges(
     # A word is about six bytes, and a packed string repeats its neighbours' words.
     buckets = max(int(n_words * 6 * 3 // bucket_bytes) + 1, 1)
     sent = work.mapInArrow(_send(window, buckets, frequent), TRAVEL_SCHEMA)
-    parts = min(buckets, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 4))
-    dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    dealt = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_receive(window, portion_bytes), RANGE_SCHEMA)
 
 

@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.llm.common import widened
 from caseloom.llm.words import Words, chunks, column_of
 
 #: Bounds of the labelled sample; a half of it trains, the other half calibrates.
@@ -206,23 +207,27 @@ def train(labelled: DataFrame) -> ToxicityModel:
     return fit(sample)
 
 
-def _score(model: ToxicityModel):
+def _worst(texts: pa.Array, distance) -> np.ndarray:
+    """The largest distance of each text's windows, ``-inf`` without any."""
+    words = Words(texts)
+    worst = np.full(len(texts), -np.inf)
+    if len(words):
+        distinct = map(bytes.lower, words.dictionary.cast(pa.large_binary()).to_pylist())
+        of_word = np.array([max(map(distance, _pieces(word))) for word in distinct])
+        filled = words.counts() > 0
+        worst[filled] = np.maximum.reduceat(of_word[words.ids], words.first[:-1][filled])
+    return worst
+
+
+def _score(model: ToxicityModel, text: str, keep: list[str]):
+    """The columns ``keep``, then distance and score."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = model.meter() if model.slope else None
-        for table in chunks(batches, "text"):
-            words = Words(column_of(table, "text"))
-            worst = np.full(table.num_rows, -np.inf)
-            if len(words) and distance:
-                of_word = np.array([
-                    max(map(distance, _pieces(w))) if len(w) > PIECE else distance(b" " + w + b" ")
-                    for w in map(bytes.lower, words.dictionary.cast(pa.large_binary()).to_pylist())
-                ])
-                filled = words.counts() > 0
-                worst[filled] = np.maximum.reduceat(of_word[words.ids], words.first[:-1][filled])
-            out = table.drop_columns(["text"])
-            out = out.append_column("distance", pa.array(worst, pa.float64()))
-            out = out.append_column("score", pa.array(model.scores(worst), pa.float64()))
-            yield from out.combine_chunks().to_batches()
+        distance = model.meter() if model.slope else (lambda window: 0.0)
+        for table in chunks(batches, text):
+            worst = _worst(column_of(table, text), distance)
+            columns = [*(column_of(table, name) for name in keep), pa.array(worst), pa.array(model.scores(worst))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "_distance", "_score"])
 
     return run
 
@@ -233,31 +238,16 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
     Null, empty and blank texts have no window: distance ``-Infinity``, score 0. Other
     columns are neither read nor returned.
     """
-    kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    done = rows.mapInArrow(_score(model), f"key {kind}, distance double, score double")
-    return done.select(F.col("key").alias(key), "distance", "score")
-
-
-def toxic_rows(docs: DataFrame, model: ToxicityModel, text: str = "text", cut: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose text scores ``cut`` or more, all columns, in one narrow stage."""
-    return _judged(docs, model, text, cut).where("_toxic").drop("_toxic")
+    schema = widened(rows.select("key").schema, distance="double", score="double")
+    return rows.mapInArrow(_score(model, "text", ["key"]), schema).withColumnRenamed("key", key)
 
 
 def clean_rows(docs: DataFrame, model: ToxicityModel, text: str = "text", cut: float = 0.7) -> DataFrame:
-    """The other rows of ``docs``, those without text included."""
-    return _judged(docs, model, text, cut).where(~F.col("_toxic")).drop("_toxic")
+    """The rows of ``docs`` that score below ``cut``, all columns, in one narrow stage.
 
-
-def _judged(docs: DataFrame, model: ToxicityModel, text: str, cut: float) -> DataFrame:
-    name = docs.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = _score(model)
-        for batch in batches:
-            slim = pa.RecordBatch.from_arrays([batch.column(name)], names=["text"])
-            toxic = [s >= cut for part in one(iter([slim])) for s in part.column("score").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(toxic, pa.bool_())], names=[*batch.schema.names, "_toxic"])
-
-    schema = docs.schema.add("_toxic", "boolean")
-    return docs.mapInArrow(run, schema)
+    Rows without text stay. The names ``_distance`` and ``_score`` are reserved.
+    """
+    schema = widened(docs.schema, _distance="double", _score="double")
+    scored = docs.mapInArrow(_score(model, text, docs.columns), schema)
+    return scored.where(F.col("_score") < cut).select(*docs.columns)
