@@ -100,7 +100,7 @@ def _fold(key: str):
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labels = labels.where(_fold("doc_id") != HELD_OUT).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.train(docs, labels)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,9 @@ toxic one has the ordinary one as its base and adds the stretches that set toxic
 apart. A window is a word (long ones in pieces) between two copies of a fixed stretch
 of ordinary text, so that every window compresses and lengths differ by the word alone.
 A window that the toxic dictionary shortens much more than the ordinary one speaks for
-toxicity; a document is as toxic as its worst window. A logistic curve fitted to other
-labelled documents turns that distance into a score.
+toxicity. What a document's windows say - the largest distance, and how many pass two
+marks - goes through a logistic curve, fitted to labelled documents that the dictionaries
+have not seen.
 
 Everything learned has a fixed size: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled
 rows reach the driver, none with more than ``MAX_BYTES`` of text. Scoring is one narrow
@@ -28,12 +29,14 @@ from pyspark.sql import functions as F
 from caseloom.llm.common import widened
 from caseloom.llm.words import Words, chunks, column_of
 
-#: Bounds of the labelled sample; a half of it trains, the other half calibrates.
-MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 3000, 6000, 1 << 16
+#: Bounds of the labelled sample.
+MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 2000, 4000, 1 << 16
+#: One part of so many calibrates, the others train.
+PARTS = 3
 
 GRAM = 5
 #: A gram sets toxic text apart when this share of toxic texts has it, so many times the ordinary share.
-LEAST_SHARE, LEAST_TEXTS, CONTRAST = 0.01, 3, 20
+LEAST_SHARE, LEAST_TEXTS, CONTRAST = 0.01, 3, 10
 BASE_BYTES, EXTRA_BYTES, PAD_BYTES = 6000, 2048, 96
 LEVEL = 3
 #: Longer words are looked at in overlapping pieces.
@@ -41,6 +44,9 @@ PIECE, STEP = 48, 40
 #: Weight of the length under the toxic dictionary: short and saved beats long and saved.
 LENGTH_WEIGHT = 0.25
 CACHE = 200_000
+#: Distances that count as raised and as high; how far rare labels are weighted up (0 to 1).
+RAISED, HIGH, BALANCE = 5.0, 7.0, 0.5
+FEATURES = 4
 
 
 def windows(text: str) -> set[bytes]:
@@ -92,9 +98,10 @@ def _extra(toxic: list[str], ordinary: list[str]) -> bytes:
         there.update(_grams(windows(text)) & here.keys())
     least = max(LEAST_TEXTS, LEAST_SHARE * len(toxic))
     n_ordinary = max(1, len(ordinary))
+    # A count is taken two standard deviations low, so that chance finds don't get in.
     special = {
         g for g, n in here.items()
-        if n >= least and n / len(toxic) > CONTRAST * (there[g] + 1) / n_ordinary
+        if n >= least and (n - 2 * n**0.5) / len(toxic) > CONTRAST * (there[g] + 1) / n_ordinary
     }
     stretches = Counter()
     for window, n in uses.items():
@@ -116,7 +123,7 @@ class ToxicityModel:
 
     base: bytes = b""
     extra: bytes = b""
-    slope: float = 0.0
+    weights: tuple[float, ...] = ()
     offset: float = -20.0
 
     def _compressor(self, content: bytes) -> zstandard.ZstdCompressor:
@@ -147,86 +154,102 @@ class ToxicityModel:
 
         return distance
 
-    def scores(self, worst: np.ndarray) -> np.ndarray:
-        x = np.clip(self.slope * worst + self.offset, -500, 500)
-        return np.where(np.isfinite(worst), 1 / (1 + np.exp(-x)), 0.0)
+    def scores(self, found: np.ndarray) -> np.ndarray:
+        """From ``features``; texts without a window score 0."""
+        filled = np.isfinite(found[:, 0])
+        x = found[filled] @ np.array(self.weights or (0.0,) * FEATURES) + self.offset
+        out = np.zeros(len(found))
+        out[filled] = 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+        return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps."""
-    centre, scale = x.mean(), x.std() or 1.0
-    z = np.stack([(x - centre) / scale, np.ones(len(x))], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
+def features(texts: pa.Array, distance) -> np.ndarray:
+    """A row per text: largest distance (``-inf`` without a window), raised and high windows."""
+    words = Words(texts)
+    out = np.zeros((len(texts), FEATURES))
+    out[:, 0] = -np.inf
+    if len(words):
+        distinct = map(bytes.lower, words.dictionary.cast(pa.large_binary()).to_pylist())
+        each = np.array([max(map(distance, _pieces(word))) for word in distinct])[words.ids]
+        filled = words.counts() > 0
+        at, n = words.first[:-1][filled], words.counts()[filled]
+        raised = np.add.reduceat((each >= RAISED).astype(np.int64), at)
+        high = np.add.reduceat((each >= HIGH).astype(np.int64), at)
+        out[filled] = np.stack(
+            [np.maximum.reduceat(each, at), np.log1p(raised), np.sqrt(raised / n), np.log1p(high)], axis=1
+        )
+    return out
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[tuple[float, ...], float]:
+    """Weights and offset of a logistic curve, by Newton steps on standardised columns."""
+    share = np.where(y == 1, y.mean(), 1 - y.mean())
+    rows = (0.5 / share) ** BALANCE
+    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
+    w = np.zeros(z.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        slope = z.T @ (p - y) + penalty * w
-        bend = (z * (p * (1 - p))[:, None]).T @ z + np.eye(2) * penalty
-        move = np.linalg.solve(bend, slope)
-        w = w - np.clip(move, -2, 2)
-    return float(w[0] / scale), float(w[1] - w[0] * centre / scale)
+        slope = z.T @ (rows * (p - y)) + penalty * w
+        bend = (z * (rows * p * (1 - p))[:, None]).T @ z + np.eye(len(w)) * penalty
+        w = w - np.clip(np.linalg.solve(bend, slope), -2, 2)
+    return tuple((w[:-1] / scale).tolist()), float(w[-1] - (w[:-1] * centre / scale).sum())
 
 
 def fit(rows: Iterable[tuple[str, int, int]]) -> ToxicityModel:
-    """From ``(text, label, half)``: half 0 trains the dictionaries, half 1 the curve.
+    """From ``(text, label, part)``: part 0 calibrates the curve, the others train the dictionaries.
 
-    Without toxic and ordinary text in either half every document scores near 0.
+    Repeated texts count once. Unless either side has texts of both labels, every
+    document scores near 0.
     """
-    texts: dict[tuple[int, int], list[str]] = {}
-    for text, label, half in sorted(rows):
-        found = texts.setdefault((half, label), [])
-        if not found or found[-1] != text:
-            found.append(text)
-    if any((half, label) not in texts for half in (0, 1) for label in (0, 1)):
+    texts: dict[tuple[bool, int], list[str]] = {}
+    for text, label, part in sorted(set(rows)):
+        if text.split():
+            texts.setdefault((part > 0, label), []).append(text)
+    if any((side, label) not in texts for side in (False, True) for label in (0, 1)):
         return ToxicityModel()
-    ordinary = texts[0, 0]
-    model = ToxicityModel(_base(ordinary[:1500]), _extra(texts[0, 1], ordinary))
-    distance = model.meter()
-    x, y = [], []
-    for label in (0, 1):
-        for text in texts[1, label]:
-            found = windows(text)
-            if found:
-                x.append(max(map(distance, found)))
-                y.append(label)
-    if len(set(y)) < 2:
-        return ToxicityModel()
-    model.slope, model.offset = _logistic(np.array(x), np.array(y, float))
+    ordinary = texts[True, 0]
+    model = ToxicityModel(_base(ordinary[:1500]), _extra(texts[True, 1], ordinary))
+    unseen = texts[False, 0] + texts[False, 1]
+    labels = np.repeat([0.0, 1.0], [len(texts[False, 0]), len(texts[False, 1])])
+    found = features(pa.array(unseen, pa.string()), model.meter())
+    model.weights, model.offset = _logistic(found, labels)
     return model
 
 
-def train(labelled: DataFrame) -> ToxicityModel:
-    """``text, label`` to a model. Of more rows than the bounds allow, those with the smallest hash are taken."""
-    rows = labelled.where(
-        F.col("text").isNotNull() & F.col("label").isin(0, 1) & (F.octet_length("text") <= MAX_BYTES)
-    ).select("text", F.col("label").cast("int").alias("label"), F.xxhash64("text").alias("order"))
-    half = F.pmod(F.shiftrightunsigned("order", 20), F.lit(2)).cast("int").alias("half")
-    sample = []
-    for label, bound in ((1, MAX_TOXIC), (0, MAX_ORDINARY)):
-        few = rows.where(F.col("label") == label).orderBy("order", "text").limit(bound)
-        sample += [tuple(row) for row in few.select("text", "label", half).collect()]
-    return fit(sample)
-
+def train(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label"
+) -> ToxicityModel:
+    """A model from ``docs`` and the labels (1: toxic, 0: not; others are ignored) of some of them.
 
-def _worst(texts: pa.Array, distance) -> np.ndarray:
-    """The largest distance of each text's windows, ``-inf`` without any."""
-    words = Words(texts)
-    worst = np.full(len(texts), -np.inf)
-    if len(words):
-        distinct = map(bytes.lower, words.dictionary.cast(pa.large_binary()).to_pylist())
-        of_word = np.array([max(map(distance, _pieces(word))) for word in distinct])
-        filled = words.counts() > 0
-        worst[filled] = np.maximum.reduceat(of_word[words.ids], words.first[:-1][filled])
-    return worst
+    The sample is chosen among the labels: those whose keys have the smallest hash, at
+    most ``MAX_TOXIC`` and ``MAX_ORDINARY``. That list is bounded, so it is broadcast to
+    the documents, and only texts of the sample move.
+    """
+    pool = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(
+        F.col("key").isNotNull() & F.col("label").isNotNull()
+    ).distinct()
+    order = F.xxhash64("key")
+    parts = [
+        pool.where(F.col("label") == value).orderBy(order, "key").limit(bound)
+        for value, bound in ((1, MAX_TOXIC), (0, MAX_ORDINARY))
+    ]
+    sample = F.broadcast(parts[0].unionByName(parts[1]))
+    part = F.pmod(F.shiftrightunsigned(order, 20), F.lit(PARTS)).cast("int")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = texts.where(F.octet_length("text") <= MAX_BYTES).join(sample, "key").select("text", "label", part)
+    return fit(tuple(row) for row in rows.collect())
 
 
 def _score(model: ToxicityModel, text: str, keep: list[str]):
     """The columns ``keep``, then distance and score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = model.meter() if model.slope else (lambda window: 0.0)
+        distance = model.meter() if model.weights else (lambda window: 0.0)
         for table in chunks(batches, text):
-            worst = _worst(column_of(table, text), distance)
-            columns = [*(column_of(table, name) for name in keep), pa.array(worst), pa.array(model.scores(worst))]
+            found = features(column_of(table, text), distance)
+            new = [pa.array(found[:, 0]), pa.array(model.scores(found))]
+            columns = [*(column_of(table, name) for name in keep), *new]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "_distance", "_score"])
 
     return run
