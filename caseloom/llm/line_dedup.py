@@ -276,12 +276,8 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
     """``docs`` with their lines dropped, all other columns as they were."""
     others = [name for name in docs.columns if name not in (key, text)]
     done = line_dedup(docs, key, text, carry=others, **options)
-    columns = []
-    for name in docs.columns:
-        if name == key:
-            columns.append(done[0].alias(key))
-        elif name == text:
-            columns.append(done[2 + len(others) + 2].alias(text))
-        else:
-            columns.append(done[2 + others.index(name)].alias(name))
-    return done.select(*columns)
+    # By place, since carried columns may have the names of new ones.
+    own = [f"own_{k}" for k in range(len(others))]
+    done = done.toDF("key", "mark", *own, "n_lines", "n_dropped", "text", "sha256")
+    place = dict(zip(others, own, strict=True)) | {key: "key", text: "text"}
+    return done.select(*(F.col(place[name]).alias(name) for name in docs.columns))

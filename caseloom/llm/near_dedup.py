@@ -54,8 +54,8 @@ def shingles(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each shingle and its text; texts shorter than a shingle are one themselves."""
     n, room = len(tokens), tokens.room()
     out = np.zeros(n, np.uint64)
-    for k in range(SHINGLE):
-        out[: n - k] = mixed(out[: n - k] * np.uint64(WORD_FACTOR) + tokens.hashes[k:]) if n > k else out
+    for k in range(min(SHINGLE, n)):
+        out[: n - k] = mixed(out[: n - k] * np.uint64(WORD_FACTOR) + tokens.hashes[k:])
     counts = tokens.first[1:] - tokens.first[:-1]
     short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
     whole = room >= SHINGLE

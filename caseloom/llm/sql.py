@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-SHARDING = """
+
+def _crc_table() -> str:
+    """The table of the reflected CRC-32 polynomial, as a DuckDB list."""
+    rows = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        rows.append(value)
+    return "[" + ", ".join(f"{row}::UBIGINT" for row in rows) + "]"
+
+
+SHARDING = f"""
 WITH RECURSIVE walk AS (
-  SELECT doc_id, CAST(coalesce(doc_id, 0) AS HUGEINT) AS state, CAST(0 AS BIGINT) AS at,
-         CAST(0 AS BIGINT) AS next
+  SELECT doc_id, CAST(doc_id AS HUGEINT) AS state, CAST(0 AS BIGINT) AS spot, CAST(0 AS BIGINT) AS next
   FROM documents
   UNION ALL
   SELECT doc_id, s, next,
@@ -15,21 +25,27 @@ WITH RECURSIVE walk AS (
                (state * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT AS s
         FROM walk WHERE next < 17)
 ), placed AS (
-  SELECT doc_id,
-         CAST(max(at) FILTER (WHERE at < 16) AS INTEGER) AS shard,
-         CAST(max(at) AS INTEGER) AS grown_shard
+  SELECT doc_id, CAST(max(spot) FILTER (WHERE spot < 16) AS INTEGER) AS shard,
+         CAST(max(spot) AS INTEGER) AS grown_shard
   FROM walk GROUP BY doc_id
-), blocks AS (
-  SELECT d.doc_id, d.text, p.shard, p.grown_shard,
-         ((CAST(d.doc_id AS HUGEINT) * 2862933555777941757::HUGEINT + 1)
-           % 18446744073709551616::HUGEINT) // 8589934592 % 256 AS block
-  FROM documents d JOIN placed p ON d.doc_id = p.doc_id
 ), bytes AS (
-  SELECT *, strlen(coalesce(text, '')) + 1 AS size FROM blocks
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+         list_transform(
+           list_filter(string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\\1 ', 'g'), ' '),
+                       lambda h: h <> ''),
+           lambda h: CAST('0x' || h AS UBIGINT)) AS b,
+         (CAST(doc_id AS HUGEINT) * 2862933555777941757::HUGEINT + 1)
+           % 18446744073709551616::HUGEINT // 8589934592 % 256 AS block
+  FROM documents
+), sums AS (
+  SELECT doc_id, size, block,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, b),
+             lambda c, x: xor(c >> 8, {_crc_table()}[CAST(1 + (xor(c, x) & 255) AS BIGINT)])), 4294967295::UBIGINT) AS crc
+  FROM bytes
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, 'key' AS law, shard,
-       row_number() OVER (PARTITION BY shard ORDER BY block, doc_id) - 1 AS slot, grown_shard
-FROM bytes
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, CAST(s.crc AS BIGINT) AS text_crc32, 'key' AS law, p.shard,
+       row_number() OVER (PARTITION BY p.shard ORDER BY s.block, s.doc_id) - 1 AS slot, p.grown_shard
+FROM sums s JOIN placed p ON s.doc_id = p.doc_id
 """
 
 EXACT_DEDUP = r"""
@@ -95,6 +111,7 @@ FROM judged GROUP BY doc_id
 """
 
 SQL = {
+    "op2_sharding": SHARDING,
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_line_dedup": LINE_DEDUP,
     "op5_exact_dedup": EXACT_DEDUP,
