@@ -32,13 +32,11 @@ CASE_STATUSES = (
 )
 PRIORITIES = ("Low", "Medium", "High", "Critical")
 SENTIMENTS = ("Positive", "Neutral", "Negative", "Very Negative")
-PROCESSING_STATUSES = ("SUCCESS", "PARTIAL", "FAILED")
 
 # --- Fixed values: ingestion --------------------------------------------------
 
 SUPPORTED_EXTENSIONS = (".docx", ".md", ".pdf", ".txt")
 IGNORED_NAME_PREFIXES = (".", "~$")
-MAX_DOCUMENT_CHARS = 20_000
 EMPTY_DOCUMENT_SUFFIX = (
     " contains no extractable text (a scanned or image-only file would need OCR)"
 )
@@ -273,10 +271,8 @@ POSITIVE = (
 # --- Fixed values: issue text and notes ---------------------------------------
 
 ISSUE_MIN_CHARS = 25
-ISSUE_MAX_CHARS = 800
 PROSE_MIN_CHARS = 40
 PROSE_LABEL_WINDOW = 20
-FALLBACK_CHARS = 300
 NO_ISSUE_TEXT = "No issue description could be identified."
 
 NOTE_ORIGIN = "Generated by the offline rule-based provider."

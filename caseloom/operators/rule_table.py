@@ -3,20 +3,27 @@
 ``rules.category_scores`` compiles a short list into one expression and is the fast
 path. This is the path for rules that live in a table ``category, keyword, weight``
 of any length. A keyword can only occur in a text that holds the keyword's opening
-characters, so documents and rules meet in an equi-join on those characters, and
-only such pairs are then checked. No document is compared with every rule.
+characters. Of the runs of that length that a text has, only those that open a keyword
+go on, each with the text, to meet the keywords they open. Documents are not shuffled,
+so no frequent run can slow one task down.
+
+The table is read in blocks of a bounded size, each broadcast and compared with all
+documents; keywords shorter than the usual opening form blocks of their own.
 """
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.plans.sealing import sealed
 
 GRAM = 3
-#: Rule tables up to this measured size are broadcast; longer ones are shuffled.
-BROADCAST_RULES, BROADCAST_BYTES = 100_000, 8 * 1024 * 1024
+#: Rules that are broadcast at once.
+BLOCK_RULES = 5_000
 
 
 def _grams(text: Column, size: int) -> Column:
@@ -24,48 +31,66 @@ def _grams(text: Column, size: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{size}}}))"), 1))
 
 
-def _measure(rules: DataFrame) -> dict:
-    """Row count, bytes, shortest keyword and smallest weight, as one row."""
-    return rules.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum(F.octet_length("keyword") + F.octet_length("category")), F.lit(0)).alias(
-            "size"
-        ),
-        F.min(F.char_length("keyword")).alias("shortest"),
-        F.min("weight").alias("weight"),
-    ).first().asDict()
+def _blocks(rules: DataFrame, block_rules: int) -> list[tuple[int, DataFrame, list[str]]]:
+    """Opening length, rules and their distinct openings of each block, the blocks bounded."""
+    keyed = rules.select(
+        "category", "keyword", "weight", F.least(F.char_length("keyword"), F.lit(GRAM)).alias("size")
+    )
+    counts = {row["size"]: row for row in keyed.groupBy("size").agg(
+        F.count("*").alias("n"), F.min("weight").alias("weight")
+    ).collect()}
+    if any(size < 1 or row["weight"] <= 0 for size, row in counts.items()):
+        raise ValueError("keywords must not be empty and weights must be positive")
+    found = []
+    for size, row in sorted(counts.items()):
+        blocks = -(-row["n"] // block_rules)
+        own = keyed.where(F.col("size") == size)
+        number = F.pmod(F.xxhash64("category", "keyword", "weight"), F.lit(blocks))
+        for block in range(blocks):
+            part = own.where(number == block).select(
+                "category", "keyword", "weight", F.substring("keyword", 1, size).alias("gram")
+            )
+            grams = sorted(r["gram"] for r in part.select("gram").distinct().collect())
+            found.append((size, part, grams))
+    return found
 
 
-def matched_rules(docs: DataFrame, rules: DataFrame, key: str, subject: str) -> DataFrame:
-    """``key, category, keyword, weight`` of every rule whose keyword the text holds."""
-    facts = _measure(rules)
-    if facts["n"] and (facts["shortest"] < 1 or facts["weight"] <= 0):
-        raise ValueError("keywords must not be empty and weights must be positive")
-    size = min(GRAM, facts["shortest"] or GRAM)
+def matched_rules(
+    docs: DataFrame, rules: DataFrame, key: str, subject: str, block_rules: int = BLOCK_RULES
+) -> DataFrame:
+    """``key, category, keyword, weight`` of every rule whose keyword the text holds.
+
+    Every row of ``docs`` is looked at by itself; rows that share a key each give theirs.
+    """
     # The joins below filter on the text; sealed, they do not copy what it is made of.
     docs = sealed(docs.select(key, subject), subject)
-    keyed = rules.select("*", F.substring("keyword", 1, size).alias("gram"))
-    if facts["n"] <= BROADCAST_RULES and facts["size"] <= BROADCAST_BYTES:
-        grams = docs.select(key, subject, F.explode(_grams(F.col(subject), size)).alias("gram"))
-        pairs = grams.join(F.broadcast(keyed), "gram")
-    else:
-        # Only keys and grams are shuffled; the text joins the few surviving pairs.
-        grams = docs.select(key, F.explode(_grams(F.col(subject), size)).alias("gram"))
-        pairs = grams.join(keyed, "gram").join(docs.select(key, subject), key)
-    return pairs.where(F.col(subject).contains(F.col("keyword"))).select(
-        key, "category", "keyword", "weight"
-    )
+    parts = [docs.select(
+        key, *(F.lit(None).cast(kind).alias(name) for name, kind in rules.dtypes
+               if name in ("category", "keyword", "weight"))
+    ).where(F.lit(False)).select(key, "category", "keyword", "weight")]
+    for size, block, grams in _blocks(rules, block_rules):
+        wanted = F.from_json(F.lit(json.dumps(grams)), "array<string>")
+        held = F.array_intersect(_grams(F.col(subject), size), wanted)
+        pairs = docs.select(key, subject, F.explode(held).alias("gram")).join(F.broadcast(block), "gram")
+        parts.append(
+            pairs.where(F.col(subject).contains(F.col("keyword"))).select(key, "category", "keyword", "weight")
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
-def keyword_scores(docs: DataFrame, rules: DataFrame, key: str, subject: str) -> DataFrame:
-    """``key, category, score`` of the categories with at least one hit."""
-    hits = matched_rules(docs, rules, key, subject)
+def keyword_scores(
+    docs: DataFrame, rules: DataFrame, key: str, subject: str, block_rules: int = BLOCK_RULES
+) -> DataFrame:
+    """``key, category, score`` of the categories with at least one hit; rows of one key add up."""
+    hits = matched_rules(docs, rules, key, subject, block_rules)
     return hits.groupBy(key, "category").agg(F.sum("weight").alias("score"))
 
 
-def top_categories(docs: DataFrame, rules: DataFrame, key: str, subject: str) -> DataFrame:
+def top_categories(
+    docs: DataFrame, rules: DataFrame, key: str, subject: str, block_rules: int = BLOCK_RULES
+) -> DataFrame:
     """``key, category`` for every document; without a hit the category is Other."""
     none = docs.select(key, F.lit("Other").alias("category"), F.lit(0).cast("long").alias("score"))
-    scores = keyword_scores(docs, rules, key, subject)
+    scores = keyword_scores(docs, rules, key, subject, block_rules)
     best = F.max(F.struct("score", "category"))["category"]
     return scores.unionByName(none).groupBy(key).agg(best.alias("category"))

@@ -127,12 +127,20 @@ def longest_prose_line(document: Column) -> Column:
     return F.array_max(F.transform(F.split(document, LINE_BREAK), rank))["line"]
 
 
-def pick_issue(description: Column, issue_details: Column, document: Column) -> Column:
-    def cut(c: Column) -> Column:
-        return F.substring(c, 1, fv.ISSUE_MAX_CHARS)
+def pick_issue(
+    description: Column, issue_details: Column, document: Column,
+    max_chars: int | None = None, opening_chars: int | None = None,
+) -> Column:
+    """The text that states the issue, whole unless excerpt lengths are given.
+
+    ``opening_chars`` is for the opening of a document that has nothing better.
+    """
+
+    def cut(c: Column, limit: int | None = max_chars) -> Column:
+        return c if limit is None else F.substring(c, 1, limit)
 
     long_enough = fv.ISSUE_MIN_CHARS
-    opening = strip(F.substring(document, 1, fv.FALLBACK_CHARS))
+    opening = strip(cut(document, opening_chars))
     return (
         F.when(F.char_length(description) > long_enough, cut(description))
         .when(F.char_length(issue_details) > long_enough, cut(issue_details))

@@ -9,7 +9,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom import fixed_values as fv
 from caseloom.functions import naming
 from caseloom.operators.inference import Model
 from caseloom.operators.report import run_counts
@@ -64,7 +63,7 @@ def run_batch(
     limit: int | None = None,
     task_mode: str = "parallel",
     workers: int | None = None,
-    max_chars: int = fv.MAX_DOCUMENT_CHARS,
+    max_chars: int | None = None,
     extractors: Mapping[str, Extractor] | None = None,
     layout: str = "tables",
 ) -> BatchResult:
@@ -109,5 +108,5 @@ def run_batch(
         "batch_workers": workers,
         **run_counts(cases, skipped).first().asDict(),
     }
-    manifest = outputs.write_run_manifest(figures, skipped, output_dir)
+    manifest = outputs.write_run_manifest(spark, figures, output_dir)
     return BatchResult(cases, skipped, manifest)

@@ -45,15 +45,16 @@ def load_texts(df: DataFrame) -> DataFrame:
     return sealed(df.withColumn("load_error", F.coalesce(earlier, empty)), "text", "load_error")
 
 
-def truncate(text: Column, max_chars: int) -> Column:
-    return F.substring(text, 1, max_chars)
+def truncate(text: Column, max_chars: int | None) -> Column:
+    """The opening ``max_chars`` characters; the whole text without a limit."""
+    return text if max_chars is None else F.substring(text, 1, max_chars)
 
 
-def is_truncated(text: Column, max_chars: int) -> Column:
-    return F.char_length(text) > max_chars
+def is_truncated(text: Column, max_chars: int | None) -> Column:
+    return F.lit(False) if max_chars is None else F.char_length(text) > max_chars
 
 
-def with_meta(df: DataFrame, max_chars: int = fv.MAX_DOCUMENT_CHARS) -> DataFrame:
+def with_meta(df: DataFrame, max_chars: int | None = None) -> DataFrame:
     """``source_file, text (cut to max_chars), load_error, meta``.
 
     ``meta.char_count`` is the length before the cut, 0 for unreadable documents.
@@ -64,20 +65,21 @@ def with_meta(df: DataFrame, max_chars: int = fv.MAX_DOCUMENT_CHARS) -> DataFram
     readable = error.isNull()
     kind = F.col("file_type") if "file_type" in have else naming.file_type(name)
     size = F.col("file_size_bytes") if "file_size_bytes" in have else F.octet_length(text)
-    meta = F.struct(
-        naming.case_id(name).alias("case_id"),
-        name.alias("source_file"),
-        kind.alias("file_type"),
-        F.coalesce(size.cast("long"), F.lit(0)).alias("file_size_bytes"),
-        F.when(readable, F.char_length(text)).otherwise(0).cast("long").alias("char_count"),
-        (readable & is_truncated(text, max_chars)).alias("truncated"),
-        F.current_timestamp().alias("ingested_at"),
-    )
+    parts = {
+        "case_id": naming.case_id(name),
+        "source_file": name,
+        "file_type": kind,
+        "file_size_bytes": F.coalesce(size.cast("long"), F.lit(0)),
+        "char_count": F.when(readable, F.char_length(text)).otherwise(0),
+        "truncated": readable & is_truncated(text, max_chars),
+        "ingested_at": F.current_timestamp(),
+    }
+    meta = F.struct(*(parts[f.name].cast(f.dataType).alias(f.name) for f in META.fields))
     return df.select(
         name,
         F.when(readable, truncate(text, max_chars)).alias("text"),
         error.alias("load_error"),
-        meta.cast(META).alias("meta"),
+        meta.alias("meta"),
     )
 
 
@@ -85,19 +87,21 @@ def process_documents(
     df: DataFrame,
     provider: str | Model = RULES,
     *,
-    max_chars: int = fv.MAX_DOCUMENT_CHARS,
+    max_chars: int | None = None,
     task_mode: str = "parallel",
     workers: int | None = None,
 ) -> DataFrame:
     """Run the three tasks over every document.
 
+    Whole texts are read unless ``max_chars`` is given, to bound what a model is paid for.
+
     The rules are lazy. A ``Model`` runs at once: every stage of model calls is
     written to the shared folder before the next one reads it, so that no call is
     made twice.
     """
     if task_mode not in TASK_MODES:
         raise ValueError(f"task_mode must be one of {TASK_MODES}")
-    if max_chars < 1:
+    if max_chars is not None and max_chars < 1:
         raise ValueError("max_chars must be positive")
     df = with_meta(df, max_chars)
     if isinstance(provider, Model):
@@ -117,6 +121,8 @@ def _by_rules(df: DataFrame) -> DataFrame:
     return finish(
         df.select(
             "meta", "load_error", "extraction",
+            # The rules draft both texts for every record.
+            F.when(x.isNull(), "FAILED").otherwise("SUCCESS").alias("status"),
             build_email(x).alias("customer_email"),
             build_summary(x).alias("case_summary"),
             p.estimated_usage(F.col("source_file"), F.col("text"), x).alias("usage"),
@@ -194,7 +200,8 @@ def finish(df: DataFrame) -> DataFrame:
     """Grade the rows and shape them as ``schemas.CASES``.
 
     Reads ``meta extraction customer_email case_summary usage`` and, where present,
-    ``load_error``, ``<task>_error`` and ``durations``.
+    ``load_error``, ``<task>_error``, ``durations`` and ``status``. Nothing is sealed here,
+    so a filter or a narrow selection on the result leaves out what it doesn't need.
     """
     have = df.columns
 
@@ -208,11 +215,10 @@ def finish(df: DataFrame) -> DataFrame:
         case_summary=said("case_summary_error"),
     )
     durations = F.col("durations") if "durations" in have else F.create_map()
+    made = case_status(F.col("extraction"), F.col("customer_email"), F.col("case_summary"))
     parts = {
         "meta": F.col("meta"),
-        "status": case_status(
-            F.col("extraction"), F.col("customer_email"), F.col("case_summary")
-        ),
+        "status": F.col("status") if "status" in have else made,
         "extraction": F.col("extraction"),
         "customer_email": F.col("customer_email"),
         "case_summary": F.col("case_summary"),
@@ -220,8 +226,13 @@ def finish(df: DataFrame) -> DataFrame:
         "task_durations_seconds": durations,
         "usage": F.col("usage"),
     }
-    df = df.select(*(parts[f.name].cast(f.dataType).alias(f.name) for f in CASES.fields))
-    return sealed(df, *CASES.fieldNames())
+    # ``meta`` has its type already; a cast would keep filters on its fields from the scan.
+    return df.select(
+        *(
+            parts[f.name] if f.name == "meta" else parts[f.name].cast(f.dataType).alias(f.name)
+            for f in CASES.fields
+        )
+    )
 
 
 def assemble(cases: DataFrame, emails: DataFrame, summaries: DataFrame, key: str) -> DataFrame:

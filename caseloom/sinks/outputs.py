@@ -8,18 +8,16 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators.drafting import render_email, summary_note
 from caseloom.operators.report import case_id_collisions, report, stable_order
+from caseloom.storage import arrow_uri
 
 STRUCTURED, EMAILS, SUMMARIES = "structured_data", "customer_emails", "case_summaries"
 REPORT, MANIFEST, SKIPPED = "final_report", "run_manifest", "skipped_files"
-#: Skipped names a run manifest lists itself; longer lists are only in their own table.
-MANIFEST_NAMES = 10_000
 
 
 def structured(cases: DataFrame) -> DataFrame:
@@ -88,39 +86,40 @@ def write_skipped(skipped: DataFrame, output_dir: str) -> None:
     skipped.write.mode("overwrite").json(f"{output_dir}/{SKIPPED}")
 
 
-def write_run_manifest(manifest: dict, skipped: DataFrame, output_dir: str) -> dict:
-    """One JSON row; the names of skipped files are in it when they are few."""
-    if manifest["skipped"] <= MANIFEST_NAMES:
-        names = [r.name for r in skipped.orderBy("name").limit(MANIFEST_NAMES).collect()]
-    else:
-        names = None
-    manifest = {**manifest, "skipped_files": names}
+def write_run_manifest(spark: SparkSession, manifest: dict, output_dir: str) -> dict:
+    """One JSON row. ``skipped_files`` is the place of the table that lists them all."""
+    manifest = {**manifest, "skipped_files": f"{output_dir}/{SKIPPED}"}
     schema = (
         "provider string, model string, started_at string, finished_at string, "
         "wall_clock_seconds double, task_mode string, batch_workers long, "
         "documents_processed long, succeeded long, partial long, failed long, "
-        "skipped long, skipped_files array<string>"
+        "skipped long, skipped_files string"
     )
-    spark = skipped.sparkSession
     spark.createDataFrame([Row(**manifest)], schema).coalesce(1).write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(f"{output_dir}/{MANIFEST}")
     return manifest
 
 
-def one_per_case_id(texts: DataFrame, cases: DataFrame) -> DataFrame:
+def one_per_case_id(texts: DataFrame, losers: DataFrame) -> DataFrame:
     """Keep one text per case id where several files share it.
 
-    Only colliding ids are looked up, and only their names are aggregated; the texts
-    themselves are not shuffled unless the list of collisions is too long to broadcast.
+    ``losers`` (``case_id, kept_file``) has colliding ids only; the texts themselves are
+    not shuffled unless that list is too long to broadcast.
     """
-    losers = case_id_collisions(cases).select("case_id", "kept_file")
     joined = texts.join(losers, "case_id", "left")
     return joined.where(F.col("kept_file").isNull() | (F.col("kept_file") == F.col("source_file")))
 
 
 def write_files(texts: DataFrame, folder: str, suffix: str) -> None:
-    """One file per case, written by the tasks; a repeated task writes the same files."""
+    """One file per case, written by the tasks; a repeated task writes the same files.
+
+    A folder without a scheme, or with ``file:``, is each machine's own, so it is only
+    taken in a session whose tasks run in one process.
+    """
+    own = folder.startswith("file:") or "://" not in folder
+    if own and texts.sparkSession.sparkContext.master.split("[")[0] != "local":
+        raise ValueError(f"{folder} is not shared by the executors; name a folder with its store's scheme")
 
     def write(rows: Iterator[Row]) -> None:
         put = _writer(folder)
@@ -144,8 +143,7 @@ def _writer(folder: str):
         return put
     from pyarrow import fs
 
-    scheme, rest = folder.split("://", 1)
-    system, inner = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+    system, inner = fs.FileSystem.from_uri(arrow_uri(folder))
     system.create_dir(inner, recursive=True)
 
     def put_remote(name: str, content: bytes) -> None:
@@ -164,9 +162,11 @@ def structured_text(cases: DataFrame) -> DataFrame:
 
 def write_case_files(cases: DataFrame, output_dir: str) -> None:
     """The per-case outputs as single files in three folders."""
+    losers = case_id_collisions(cases).select("case_id", "kept_file").persist()
     for texts, folder, suffix in (
         (structured_text(cases), STRUCTURED, ".json"),
         (emails(cases), EMAILS, ".txt"),
         (summaries(cases), SUMMARIES, ".md"),
     ):
-        write_files(one_per_case_id(texts, cases), f"{output_dir}/{folder}", suffix)
+        write_files(one_per_case_id(texts, losers), f"{output_dir}/{folder}", suffix)
+    losers.unpersist()

@@ -5,9 +5,10 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from urllib.parse import quote
 from xml.etree import ElementTree
 
+from caseloom.storage import arrow_uri
+
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 
@@ -18,8 +19,7 @@ def read_bytes(path: str) -> bytes:
             return handle.read()
     from pyarrow import fs
 
-    scheme, rest = path.split("://", 1)
-    system, inner = fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+    system, inner = fs.FileSystem.from_uri(arrow_uri(path))
     with system.open_input_stream(inner) as stream:
         return stream.read()
 

@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINTS = "spark.checkpoint.dir"
 
 
+#: Names that Arrow gives to stores that Hadoop calls otherwise.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def arrow_uri(path: str) -> str:
+    """A Hadoop path with a scheme as a URI for Arrow's file systems."""
+    scheme, rest = path.split("://", 1)
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}://{quote(rest)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -190,7 +190,7 @@ def model_run(timed: str) -> str:
     kept = ", ".join(f"CASE WHEN e1 IS NULL AND n1 IS NOT NULL THEN {f} END AS {f}" for f in EXTRACTION_FIELDS)
     return f"""WITH corpus AS ({o.corpus_oracle()}),
 docs AS ({o.RAW_FORMS}),
-cuts AS (SELECT *, CASE WHEN load_error IS NULL THEN substr(text, 1, {fv.MAX_DOCUMENT_CHARS}) END AS cut FROM docs),
+cuts AS (SELECT *, CASE WHEN load_error IS NULL THEN text END AS cut FROM docs),
 first AS (SELECT *, length({o.prompt(fv.PROMPT_EXTRACTION)}) AS n1 FROM cuts),
 fate1 AS (SELECT *, CASE WHEN n1 IS NOT NULL THEN {_fate("extraction", "n1", EXTRACTION_FIELDS, own1)} END AS e1 FROM first),
 records AS (SELECT *, {record} FROM fate1),
@@ -242,20 +242,20 @@ _NOTE = (
 def oracle_sql() -> dict[str, str]:
     parsed, ruled, drafted, cased = o.parsed(), o.ruled(), o.drafted(), o.cased()
     strip_text = o.strip("text")
-    prose_issue = (
-        f"CASE WHEN longest IS NOT NULL THEN longest "
-        f"WHEN {o.strip(f'substr(t, 1, {fv.FALLBACK_CHARS})')} <> '' "
-        f"THEN {o.strip(f'substr(t, 1, {fv.FALLBACK_CHARS})')} ELSE {Q(fv.NO_ISSUE_TEXT)} END"
-    )
 
-    def longest(key: str, text: str, source: str, cut: bool) -> str:
-        line = f"substr(s, 1, {fv.ISSUE_MAX_CHARS})" if cut else "s"
+    def prose_issue(line: str, opening: str) -> str:
+        return (
+            f"CASE WHEN longest IS NOT NULL THEN {line} WHEN {o.strip(opening)} <> '' "
+            f"THEN {o.strip(opening)} ELSE {Q(fv.NO_ISSUE_TEXT)} END"
+        )
+
+    def longest(key: str, text: str, source: str) -> str:
         return f"""plines AS (
   SELECT {key}, unnest(range(1, len(parts) + 1)) AS ln, unnest(parts) AS raw
   FROM (SELECT {key}, regexp_split_to_array({text}, '\\r\\n|[{o.BREAKS}]') AS parts FROM {source})
 ),
 plongest AS (
-  SELECT {key}, {line} AS longest FROM (SELECT *, {o.strip("raw")} AS s FROM plines)
+  SELECT {key}, s AS longest FROM (SELECT *, {o.strip("raw")} AS s FROM plines)
   WHERE length(s) > {fv.PROSE_MIN_CHARS} AND NOT contains(substr(raw, 1, {fv.PROSE_LABEL_WINDOW}), ':')
   QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY length(s) DESC, ln) = 1
 )"""
@@ -303,7 +303,7 @@ FROM docs LEFT JOIN extraction USING (k)""".replace(
         "case_id": from_files(f"SELECT name, {o.case_id('name')} AS case_id FROM files"),
         "document_meta": f"""SELECT {o.case_id(doc_name)} AS case_id, {doc_name} AS source_file,
   'txt' AS file_type, strlen(text) AS file_size_bytes, length(text) AS char_count,
-  length(text) > {fv.MAX_DOCUMENT_CHARS} AS truncated FROM documents""",
+  false AS truncated FROM documents""",
         "truncate": "SELECT doc_id, substr(text, 1, 2000) AS kept, length(text) > 2000 AS truncated FROM documents",
         "display_name": f"{ruled} SELECT source_file, {o.NAME} AS display_name FROM extraction",
         "email_topic": f"{ruled} SELECT source_file, {o.TOPIC} AS topic FROM extraction",
@@ -364,12 +364,17 @@ FROM docs LEFT JOIN extraction USING (k)""".replace(
         ),
         "pick_issue": (
             f"{ruled}, texts AS (SELECT doc_id, {strip_text} AS t FROM documents), "
-            f"{longest('doc_id', 't', 'texts', True)} SELECT source_file, issue FROM outcome UNION ALL "
-            f"SELECT {DOC_KEY}, {prose_issue} FROM texts LEFT JOIN plongest USING (doc_id)"
+            f"{longest('doc_id', 't', 'texts')} SELECT source_file, issue FROM outcome UNION ALL "
+            f"SELECT {DOC_KEY}, {prose_issue('longest', 't')} FROM texts LEFT JOIN plongest USING (doc_id)"
+        ),
+        "issue_excerpt": (
+            f"WITH texts AS (SELECT doc_id, {strip_text} AS t FROM documents), {longest('doc_id', 't', 'texts')} "
+            f"SELECT doc_id, {prose_issue('substr(longest, 1, 800)', 'substr(t, 1, 300)')} AS issue "
+            "FROM texts LEFT JOIN plongest USING (doc_id)"
         ),
         "longest_line": (
             "WITH turns AS (SELECT conv_id * 1000000 + turn AS key, * FROM conversations), "
-            f"{longest('key', 'text', 'turns', False)} "
+            f"{longest('key', 'text', 'turns')} "
             "SELECT conv_id, turn, longest AS line FROM turns LEFT JOIN plongest USING (key)"
         ),
         "build_notes": f"{ruled} SELECT source_file, notes FROM outcome",

@@ -46,8 +46,7 @@ def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms with the text the rules see as ``d``."""
-    cut = workflow.truncate(c("text"), fv.MAX_DOCUMENT_CHARS)
-    return forms(spark, sf_dir).select("k", "source_file", parsing.rule_view(cut).alias("d"))
+    return forms(spark, sf_dir).select("k", "source_file", parsing.rule_view(c("text")).alias("d"))
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,6 +458,13 @@ def pick_issue(spark, sf_dir):
     return own.unionByName(prose)
 
 
+@query
+def issue_excerpt(spark, sf_dir):
+    """The excerpt lengths that a caller may ask for."""
+    issue = rules.pick_issue(F.lit(""), F.lit(""), tx.strip(c("text")), max_chars=800, opening_chars=300)
+    return table(spark, sf_dir, "documents").select("doc_id", issue.alias("issue"))
+
+
 @query
 def longest_line(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")

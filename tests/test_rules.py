@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.operators import drafting, parsing, prompts, rule_table, rules
-from caseloom.plans.workflow import process_documents
+from caseloom.plans.workflow import load_texts, process_documents
 
 
 def extract(spark, texts):
@@ -92,7 +92,7 @@ def test_ties_and_substrings(spark):
     ]
 
 
-def test_rule_table_equals_brute_force(spark, monkeypatch):
+def test_rule_table_equals_brute_force(spark):
     rng = random.Random(5)
     texts = {i: "".join(rng.choice("abc ") for _ in range(rng.randint(0, 40))) for i in range(200)}
     table = [(f"C{n % 5}", "".join(rng.choice("abc ") for _ in range(rng.randint(1, 5))), 1 + n % 3)
@@ -106,15 +106,40 @@ def test_rule_table_equals_brute_force(spark, monkeypatch):
         want[i] = max(scores, key=lambda x: (scores[x], x)) if scores else "Other"
     docs = spark.createDataFrame(list(texts.items()), "i int, t string")
     words = spark.createDataFrame(table, "category string, keyword string, weight long")
-    for bound in (rule_table.BROADCAST_RULES, 0):  # small table, then the shuffled path
-        monkeypatch.setattr(rule_table, "BROADCAST_RULES", bound)
-        got = rule_table.top_categories(docs, words, "i", "t").collect()
+    for block in (rule_table.BLOCK_RULES, 7):  # one block for each opening length, then several
+        got = rule_table.top_categories(docs, words, "i", "t", block).collect()
         assert {r.i: r.category for r in got} == want
     with pytest.raises(ValueError):
         empty = spark.createDataFrame([("C", "", 1)], "category string, keyword string, weight long")
         rule_table.top_categories(docs, empty, "i", "t")
 
 
+@pytest.mark.parametrize("block", [1, 5000])
+def test_rows_of_one_key_add_up(spark, block):
+    docs = spark.createDataFrame([("a", "a refund"), ("a", "my refund"), ("b", "none")], "k string, t string")
+    words = spark.createDataFrame(
+        [("Refund", "refund", 3), ("Money", "fund", 1), ("X", "a", 1), ("Y", "zz", 1)],
+        "category string, keyword string, weight long",
+    )
+    got = rule_table.keyword_scores(docs, words, "k", "t", block).collect()
+    assert sorted(map(tuple, got)) == [("a", "Money", 2), ("a", "Refund", 6), ("a", "X", 1)]
+
+
+def test_fields_at_the_end_of_a_long_document(spark, form):
+    """Whole texts are read: nothing is cut unless a limit is given."""
+    text = "Nothing to see here at all, only filler.\n" * 2500 + form
+    assert len(text) > 100_000
+    df = spark.createDataFrame([("a.txt", text)], "source_file string, text string")
+    row = process_documents(df).first()
+    assert (row.extraction.customer_name, row.extraction.complaint_category) == ("Lena Fischer", "Billing")
+    assert row.meta.char_count == len(text) and not row.meta.truncated
+    long_issue = "Complaint Description:\n" + "The router stops and starts again all day. " * 60
+    (x,) = extract(spark, [long_issue])
+    assert len(x.issue_description) > 2000
+    cut = rules.pick_issue(F.lit("x" * 900), F.lit(""), F.lit(""), max_chars=800)
+    assert len(spark.range(1).select(cut.alias("c")).first().c) == 800
+
+
 def test_prompt_block_gives_the_text_back(spark, form):
     df = spark.createDataFrame([("a.txt", form.strip())], "n string, t string").coalesce(1)
     prompt = prompts.prompt_extraction(F.col("n"), F.col("t"))
@@ -150,9 +175,21 @@ def test_rules_plan_is_one_narrow_stage(spark, form):
     plan = process_documents(path_df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "EvalPython" not in plan
     assert plan.count("action taken|escalation") == 2  # one event pass: its pattern names them twice
-    filtered = process_documents(path_df).where("status = 'FAILED' AND extraction.priority = 'Low'")
+    filtered = process_documents(path_df).where("status = 'SUCCESS' AND extraction.priority = 'Low'")
     assert filtered._jdf.queryExecution().executedPlan().toString().count("action taken|escalation") == 2
 
 
+def test_output_is_filtered_and_pruned(spark, form, tmp_path):
+    spark.createDataFrame([("a.txt", form)], "source_file string, text string").write.parquet(f"{tmp_path}/in")
+    cases = process_documents(load_texts(spark.read.parquet(f"{tmp_path}/in")))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "EqualTo(source_file,a.txt)" in plan(cases.where("meta.source_file = 'a.txt'"))
+    assert "Kind regards" in plan(cases) and "Kind regards" not in plan(cases.select("status"))
+    assert cases.where("meta.source_file = 'a.txt'").select("status").first().status == "SUCCESS"
+
+
 def test_vocabularies_cover_the_rules():
     assert {category for category, _, _ in fv.CATEGORY_KEYWORDS} <= set(fv.CATEGORIES)
