@@ -71,22 +71,4 @@ def docx_text(content: bytes) -> str:
     return "\n".join(lines)
 
 
-def pdf_text(content: bytes) -> str:
-    """Page texts a blank line apart; needs the optional ``pypdf`` package."""
-    try:
-        from pypdf import PdfReader
-    except ImportError:
-        raise ValueError("pypdf is not installed; pass an extractor for .pdf files") from None
-    reader = PdfReader(io.BytesIO(content))
-    if reader.is_encrypted and not reader.decrypt(""):
-        raise ValueError("the file is password-protected")
-    pages = []
-    for page in reader.pages:
-        try:
-            pages.append(page.extract_text() or "")
-        except Exception:  # noqa: BLE001 - a bad page must not lose the whole file
-            continue
-    return "\n\n".join(pages)
-
-
-BUILT_IN = {".docx": docx_text, ".pdf": pdf_text}
+BUILT_IN = {".docx": docx_text}

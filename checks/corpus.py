@@ -19,14 +19,14 @@ from caseloom.plans.spread import spread
 DESCRIPTIONS = (
     "I was billed twice for the month and the duplicate charge is still on my invoice.",
     "The delivery never came. The courier tracking has not moved and the parcel is lost.",
-    "The unit stopped working and there is a burning smell, clearly a manufacturing defect.",
+    "The fan stopped working on day two, smells of smoke, and that is a manufacturing defect.",
     "It is still under warranty and the guarantee says so.",
     "I cancelled my plan in the cooling off period and want my money back.",
-    "I cannot log in. My password is refused with access denied and the OTP never comes.",
-    "The app crashed again with a blank screen. I had to reinstall it after an error.",
+    "Since the move I cannot log in: access denied, a new password, and the OTP is never sent.",
+    "Another blank screen, another error. I had to reinstall and it crashed while saving.",
     "Your staff were rude and dismissive and the communication was very poor.",
     "This is completely unacceptable and I want this escalated to a manager.",
-    "Hello, this is not a complaint. I would like some clarification before I upgrade.",
+    "A question only, this is not a complaint: may I have clarification on the upgrade?",
     "There is a refund and a delivery to sort out.",
     "A courier brought a faulty item.",
     "I am happy with how it appears.",
@@ -46,7 +46,7 @@ DESCRIPTIONS = (
     'The page said "error" and C:/logs was empty; I am angry and disappointed.',
 )
 DETAILS = (
-    "Duplicate charge confirmed by the billing team.",
+    "Ledger shows a duplicate charge on the fourth.",
     "None.",
     "",
     "Follow-up call made; payment still pending and the dispatch note is missing.",
@@ -62,7 +62,7 @@ RESOLUTIONS = (
     "A refund was approved and settled.",
     "(none recorded)",
     "",
-    "The refund is currently being processed by finance.",
+    "Bank transfer, being processed since Tuesday.",
     "A new unit was sent and the case is closed.",
     "We apologised and a goodwill credit of 150 was applied. Now closed.",
     "Team will look at it next week.",
@@ -74,12 +74,12 @@ RESOLUTIONS = (
     "Customer confirmed the fix.",
 )
 ESCALATIONS = (
-    "Not required. Resolved at first line.",
-    "Not requested by the customer.",
-    "Customer has requested escalation to a supervisor.",
-    "Escalated to the engineering team.",
-    "Not yet escalated, but the delay is outside policy.",
-    "Handled by the service manager. Now closed.",
+    "Not required, resolved at first line by chat.",
+    "So far not requested.",
+    "Wants a supervisor on the phone.",
+    "Escalated on Monday, ticket 9.",
+    "Not yet escalated, waits for the audit.",
+    "Desk two, handled by the duty manager, now closed.",
     "",
     "None.",
     "Customer mentioned the consumer court and legal steps.",
