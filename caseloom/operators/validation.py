@@ -44,11 +44,19 @@ def _kind(node: Column, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(node, f"$.{name}", "variant"))
 
 
-def _flag(raw: Column) -> Column:
+def _worded_flag(raw: Column) -> Column:
     word = F.lower(raw)
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
+def _flag(raw: Column) -> Column:
+    """JSON true and false, their spellings, and the numbers 1 and 0 in any notation."""
+    number = raw.try_cast("double")
+    return F.coalesce(
+        _worded_flag(raw), F.when(number == 1, F.lit(True)).when(number == 0, F.lit(False))
+    )
+
+
 def _field_problem(field: T.StructField, kind: Column, raw: Column) -> Column:
     """The first problem of one field as text, null when it is right."""
     name = field.name
@@ -58,8 +66,9 @@ def _field_problem(field: T.StructField, kind: Column, raw: Column) -> Column:
 
     problem = F.when(kind.isNull(), say("field required"))
     if isinstance(field.dataType, T.BooleanType):
+        flag = F.when(kind == "STRING", _worded_flag(raw)).otherwise(_flag(raw))
         return problem.when(
-            kind.isin("VOID") | kind.startswith("OBJECT") | _flag(raw).isNull(), say("not a boolean")
+            kind.isin("VOID") | kind.startswith("OBJECT") | flag.isNull(), say("not a boolean")
         )
     if isinstance(field.dataType, T.ArrayType):
         texts = kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & ~F.exists(raw, lambda p: p.isNull())
@@ -116,6 +125,8 @@ def read_responses(df: DataFrame, task: str, answer: str, into: str | None = Non
     ``<into>_violations``: null without an answer, an empty array when it is right.
     """
     into = into or task
+    if task not in TASKS:
+        raise ValueError(f"unknown task {task!r}: one of {', '.join(TASKS)}")
     schema, clean = TASKS[task]
     keep = df.columns
     text, node, raw = F.col(answer), F.col("_node"), F.col("_raw")
@@ -124,10 +135,20 @@ def read_responses(df: DataFrame, task: str, answer: str, into: str | None = Non
         F.try_parse_json(text).alias("_node"),
         F.from_json(text, _raw_schema(schema), {"mode": "PERMISSIVE"}).alias("_raw"),
     )
+    # The kinds get a layer of their own, so that each member is looked at once.
+    df = df.select(
+        *keep,
+        "_raw",
+        F.struct(
+            F.coalesce(F.schema_of_variant(node).startswith("OBJECT"), F.lit(False)).alias("_object"),
+            *(_kind(node, f.name).alias(f.name) for f in schema.fields),
+        ).alias("_kinds"),
+    )
+    kinds = F.col("_kinds")
     problems = F.array_compact(
-        F.array(*(_field_problem(f, _kind(node, f.name), raw[f.name]) for f in schema.fields))
+        F.array(*(_field_problem(f, kinds[f.name], raw[f.name]) for f in schema.fields))
     )
-    is_object = F.coalesce(F.schema_of_variant(node).startswith("OBJECT"), F.lit(False))
+    is_object = kinds["_object"]
     violations = (
         F.when(text.isNull(), F.lit(None))
         .when(~is_object, F.array(F.lit(NOT_AN_OBJECT)))

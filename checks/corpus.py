@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.plans.spread import spread
+from checks.spread import spread
 
 DESCRIPTIONS = (
     "I was billed twice for the month and the duplicate charge is still on my invoice.",

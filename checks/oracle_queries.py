@@ -239,6 +239,14 @@ _NOTE = (
 )
 
 
+def model_sql() -> dict[str, str]:
+    """The counterparts of ``queries.MODEL_RUNS``."""
+    return {
+        "generate_structured": model_run("downstream_tasks_parallel,extraction"),
+        "generate_structured_sequential": model_run("case_summary,customer_email,extraction"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     parsed, ruled, drafted, cased = o.parsed(), o.ruled(), o.drafted(), o.cased()
     strip_text = o.strip("text")
@@ -442,8 +450,6 @@ FROM docs LEFT JOIN extraction USING (k)""".replace(
             f"{drafted} SELECT source_file, {o.prompt(fv.PROMPT_SUMMARY)} AS prompt "
             "FROM (SELECT source_file, d AS cut, record_json FROM drafts)"
         ),
-        "generate_structured": model_run("downstream_tasks_parallel,extraction"),
-        "generate_structured_sequential": model_run("case_summary,customer_email,extraction"),
         "process_documents": (
             f"{cased} SELECT c.case_id, c.source_file, "
             "CASE WHEN extracted THEN 'SUCCESS' ELSE 'FAILED' END AS status, "

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.operators import drafting, parsing, prompts, rule_table, rules
+from caseloom.operators.validation import read_responses
 from caseloom.plans.workflow import load_texts, process_documents
 
 
@@ -192,3 +193,21 @@ def test_output_is_filtered_and_pruned(spark, form, tmp_path):
 
 def test_vocabularies_cover_the_rules():
     assert {category for category, _, _ in fv.CATEGORY_KEYWORDS} <= set(fv.CATEGORIES)
+
+
+@pytest.mark.parametrize("flag, want", [
+    ("1.0", True), ("0.0", False), ("1", True), ("true", True), ('"Yes"', True), ('"off"', False),
+    ('"1.0"', None), ("2", None), ("null", None), ("[1]", None), ("{}", None),
+])
+def test_flags_in_answers(spark, form, flag, want):
+    df = spark.createDataFrame([(form.strip(),)], "d string").coalesce(1)
+    json = prompts.extraction_json(F.col("extraction"))
+    answer = F.regexp_replace(json, '"is_complaint": (true|false)', f'"is_complaint": {flag}')
+    row = read_responses(rules.with_rule_extraction(df, "d").select(answer.alias("a")), "extraction", "a").first()
+    assert row.extraction_violations == ([] if want is not None else ["is_complaint: not a boolean"])
+    assert (row.extraction and row.extraction.is_complaint) == want
+
+
+def test_unknown_task_is_named(spark):
+    with pytest.raises(ValueError, match="unknown task 'poem'"):
+        read_responses(spark.createDataFrame([("{}",)], "a string"), "poem", "a")
