@@ -95,7 +95,8 @@ def write_run_manifest(spark: SparkSession, manifest: dict, output_dir: str) ->
         "documents_processed long, succeeded long, partial long, failed long, "
         "skipped long, skipped_files string"
     )
-    spark.createDataFrame([Row(**manifest)], schema).coalesce(1).write.mode("overwrite").option(
+    names = [part.split()[0] for part in schema.split(", ")]
+    spark.createDataFrame([tuple(manifest[n] for n in names)], schema).coalesce(1).write.mode("overwrite").option(
         "ignoreNullFields", "false"
     ).json(f"{output_dir}/{MANIFEST}")
     return manifest

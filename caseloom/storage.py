@@ -17,7 +17,7 @@ ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
 def arrow_uri(path: str) -> str:
     """A Hadoop path with a scheme as a URI for Arrow's file systems."""
     scheme, rest = path.split("://", 1)
-    return f"{ARROW_SCHEMES.get(scheme, scheme)}://{quote(rest)}"
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}://{quote(rest, safe='/:@')}"
 
 
 def shared_dir(spark: SparkSession) -> str:

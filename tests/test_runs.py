@@ -11,10 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
+from caseloom import storage
 from caseloom.operators import inference, report
 from caseloom.operators.inference import CallError, Model, Reply
 from caseloom.plans.batch import run_batch
 from caseloom.plans.workflow import process_documents
+from caseloom.sinks import outputs
 from caseloom.sources import manifest
 from caseloom.sources.documents import load_documents
 from caseloom.streaming.arrivals import write_cases
@@ -205,3 +207,27 @@ def test_stream_equals_batch(spark, tmp_path, form):
     write_cases(stream, out, str(tmp_path / "progress"), once=True).awaitTermination(120)
     got = spark.read.parquet(out).groupBy("status").agg(F.count("*").alias("n")).collect()
     assert {r.status: r.n for r in got} == {"SUCCESS": 8, "FAILED": 4}
+
+
+def test_hadoop_paths_for_arrow():
+    assert storage.arrow_uri("s3a://bucket/a b/ü") == "s3://bucket/a%20b/%C3%BC"
+    assert storage.arrow_uri("hdfs://host:8020/x") == "hdfs://host:8020/x"
+    assert storage.arrow_uri("abfss://c@a.dfs/x").startswith("abfs://")
+
+
+def test_settled_tables_are_cleared(spark):
+    kept = storage.settle(spark.range(3).toDF("k"), "numbers")
+    assert sorted(r.k for r in kept.collect()) == [0, 1, 2]
+    assert storage.clear_settled(spark) and not os.path.exists(kept.inputFiles()[0].removeprefix("file://"))
+
+
+def test_manifest_names_the_table_of_skipped_files(spark, tmp_path):
+    """However many files are skipped, they are rows, and the manifest says where."""
+    skipped = spark.range(20_000).selectExpr("concat('f', id, '.xlsx') AS name")
+    outputs.write_skipped(skipped, str(tmp_path))
+    figures = dict.fromkeys(
+        ("provider", "model", "started_at", "finished_at", "task_mode"), "x"
+    ) | {"wall_clock_seconds": 1.0, "batch_workers": None, "documents_processed": 0, "succeeded": 0,
+         "partial": 0, "failed": 0, "skipped": 20_000}
+    manifest = outputs.write_run_manifest(spark, figures, str(tmp_path))
+    assert spark.read.json(manifest["skipped_files"]).count() == 20_000
