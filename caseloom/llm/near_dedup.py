@@ -40,7 +40,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Registers compared before two texts are.
-CHECKED = 256
+CHECKED = 512
 #: Rows of a bucket that one place compares; larger buckets are dealt to pairs of blocks.
 BLOCK_ROWS = 4096
 #: Comparisons with one leader are spread over so many places.
