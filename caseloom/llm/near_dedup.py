@@ -432,7 +432,8 @@ def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
 def _classes(members: DataFrame, key: str) -> DataFrame:
     """From ``id, mark, label``; a null label is a class of its own."""
     own = F.struct("id", "mark")
-    heads = members.where("label is not null").groupBy("label").agg(F.min(own).alias("head"))
+    # Written, so that the join below is dealt anew and a large class can be split.
+    heads = settle(members.where("label is not null").groupBy("label").agg(F.min(own).alias("head")), "heads")
     done = members.join(heads, "label", "left").select("id", "mark", F.coalesce("head", own).alias("head"))
 
     def shown(column):
