@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in chunks of about so many bytes.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 
 # Odd multipliers of the polynomial hashes and of the final mixing.
 BYTE_FACTOR = 0x9E3779B97F4A7C15
