@@ -1,13 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text and one on toxic text; the
-toxic one has the ordinary one as its base and adds the stretches that set toxic text
-apart. A window is a word (long ones in pieces) between two copies of a fixed stretch
-of ordinary text, so that every window compresses and lengths differ by the word alone.
-A window that the toxic dictionary shortens much more than the ordinary one speaks for
-toxicity. What a document's windows say - the largest distance, and how many pass two
-marks - goes through a logistic curve, fitted to labelled documents that the dictionaries
-have not seen.
+A zstandard dictionary is trained on ordinary text. The toxic dictionary is the same one
+with the stretches that set toxic text apart put before its last ``PAD_BYTES``, so that
+all else lies at equal distance from a window in both. A window is a word (long ones in
+pieces) between two copies of those last bytes, so that every window compresses and
+lengths differ by the word alone. The bytes that the toxic dictionary saves speak for
+toxicity. What a document's windows say - the largest distance, and how many reach each of
+``MARKS``, as a count and as a share - goes through a logistic curve, fitted to labelled
+documents that the dictionaries have not seen. The same documents choose the length of
+grams, least share, contrast and size of the toxic stretches among ``GRAMS``, ``SHARES``,
+``CONTRASTS`` and ``SIZES``.
 
 Everything learned has a fixed size: at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled
 rows reach the driver, none with more than ``MAX_BYTES`` of text. Scoring is one narrow
@@ -19,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +37,20 @@ MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 2000, 4000, 1 << 16
 #: One part of so many calibrates, the others train.
 PARTS = 3
 
-GRAM = 5
-#: A gram sets toxic text apart when this share of toxic texts has it, so many times the ordinary share.
-LEAST_SHARE, LEAST_TEXTS, CONTRAST = 0.01, 3, 10
-BASE_BYTES, EXTRA_BYTES, PAD_BYTES = 6000, 2048, 96
-LEVEL = 3
+#: A gram of so many bytes sets toxic text apart when this share of toxic texts has it, in so many times
+#: the windows that an ordinary text has it in; bytes of such stretches. The calibration part chooses.
+GRAMS, SHARES, CONTRASTS, SIZES = (5, 7), (0.01, 0.003), (10, 5, 3), (2048, 8192)
+LEAST_TEXTS = 3
+BASE_BYTES, PAD_BYTES = 6000, 96
+LEVEL = 6
 #: Longer words are looked at in overlapping pieces.
 PIECE, STEP = 48, 40
-#: Weight of the length under the toxic dictionary: short and saved beats long and saved.
-LENGTH_WEIGHT = 0.25
 CACHE = 200_000
-#: Distances that count as raised and as high; how far rare labels are weighted up (0 to 1).
-RAISED, HIGH, BALANCE = 5.0, 7.0, 0.5
-FEATURES = 4
+#: Distances from which on windows are counted; the curve weighs them.
+MARKS = (1, 2, 3, 4, 5, 6)
+FEATURES = 1 + 2 * len(MARKS)
+#: How far rare labels are weighted up (0 to 1).
+BALANCE = 0.5
 
 
 def windows(text: str) -> set[bytes]:
@@ -59,19 +63,19 @@ def _pieces(word: bytes) -> list[bytes]:
     return [b" " + word[k : k + PIECE] + b" " for k in range(0, len(word) - PIECE + STEP, STEP)]
 
 
-def _grams(found: Iterable[bytes]) -> set[bytes]:
-    return {w[k : k + GRAM] for w in found for k in range(len(w) - GRAM + 1)}
+def _grams(window: bytes, gram: int) -> set[bytes]:
+    return {window[k : k + gram] for k in range(len(window) - gram + 1)}
 
 
-def _stretches(window: bytes, special: set[bytes]) -> list[bytes]:
+def _stretches(window: bytes, special: set[bytes], gram: int) -> list[bytes]:
     """The longest stretches of a window all of whose grams are special."""
-    out, k, last = [], 0, len(window) - GRAM
+    out, k, last = [], 0, len(window) - gram
     while k <= last:
         end = k
-        while end <= last and window[end : end + GRAM] in special:
+        while end <= last and window[end : end + gram] in special:
             end += 1
         if end > k:
-            out.append(window[k : end - 1 + GRAM])
+            out.append(window[k : end - 1 + gram])
         k = end + 1
     return out
 
@@ -87,33 +91,44 @@ def _base(texts: list[str]) -> bytes:
         return b"".join(samples)[-BASE_BYTES:].rjust(64)
 
 
-def _extra(toxic: list[str], ordinary: list[str]) -> bytes:
-    """What sets toxic text apart, the most frequent stretches last, as zstandard likes it."""
-    here, there, uses = Counter(), Counter(), Counter()
-    for text in toxic:
-        found = windows(text)
-        uses.update(found)
-        here.update(_grams(found))
-    for text in ordinary:
-        there.update(_grams(windows(text)) & here.keys())
-    least = max(LEAST_TEXTS, LEAST_SHARE * len(toxic))
-    n_ordinary = max(1, len(ordinary))
-    # A count is taken two standard deviations low, so that chance finds don't get in.
-    special = {
-        g for g, n in here.items()
-        if n >= least and (n - 2 * n**0.5) / len(toxic) > CONTRAST * (there[g] + 1) / n_ordinary
-    }
-    stretches = Counter()
-    for window, n in uses.items():
-        for stretch in set(_stretches(window, special)):
-            stretches[stretch] += n
-    chosen, size = [], 0
+def _extras(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """What sets toxic text apart, by each of the settings; the most frequent stretches last, as zstandard likes it."""
+    of_toxic, of_ordinary = ([windows(text) for text in texts] for texts in (toxic, ordinary))
+    uses = Counter(w for found in of_toxic for w in found)
+    out = {}
+    for gram in GRAMS:
+        texts = Counter(g for found in of_toxic for g in {g for w in found for g in _grams(w, gram)})
+        texts = {g: n for g, n in texts.items() if n >= LEAST_TEXTS}
+        # Windows, not texts, are counted for the contrast: a telling word comes in many forms in one toxic text.
+        here = Counter(g for w, n in uses.items() for g in _grams(w, gram) & texts.keys() for _ in range(n))
+        there = Counter(g for found in of_ordinary for w in found for g in _grams(w, gram) & texts.keys())
+        held: dict[frozenset[bytes], Counter] = {}
+        for share, contrast in product(SHARES, CONTRASTS):
+            least = max(LEAST_TEXTS, share * len(toxic))
+            # A count is taken two standard deviations low, so that chance finds don't get in.
+            special = frozenset(
+                g for g, n in texts.items()
+                if n >= least
+                and here[g] * (1 - 2 / n**0.5) / len(toxic) > contrast * (there[g] + 1) / max(1, len(ordinary))
+            )
+            if special not in held:
+                stretches = held[special] = Counter()
+                for window, n in uses.items():
+                    for stretch in set(_stretches(window, special, gram)):
+                        stretches[stretch] += n
+            for size in SIZES:
+                out[_joined(held[special], least, size)] = None
+    return list(out)
+
+
+def _joined(stretches: Counter, least: float, size: int) -> bytes:
+    chosen, length = [], 0
     for stretch, n in sorted(stretches.items(), key=lambda x: (-x[1], x[0])):
-        if n < least or size > EXTRA_BYTES:
+        if n < least or length > size:
             break
         if not any(stretch in other for other in chosen):
             chosen.append(stretch)
-            size += len(stretch)
+            length += len(stretch)
     return b"".join(reversed(chosen))
 
 
@@ -137,7 +152,8 @@ class ToxicityModel:
         """A function from window to distance: 0 and less is ordinary."""
         pad = self.base[-PAD_BYTES:]
         ordinary = self._compressor(self.base).compress
-        toxic = self._compressor(self.base + self.extra).compress
+        # The last bytes of a dictionary are not indexed and moved offsets cost bytes: the extra goes before them.
+        toxic = self._compressor(self.base[:-PAD_BYTES] + self.extra + pad).compress
         no_word, no_word_toxic = len(ordinary(pad + pad)), len(toxic(pad + pad))
         held: dict[bytes, float] = {}
 
@@ -148,8 +164,7 @@ class ToxicityModel:
                     held.clear()
                 whole = pad + window + pad
                 with_toxic = len(toxic(whole)) - no_word_toxic
-                saved = len(ordinary(whole)) - no_word - with_toxic
-                found = held[window] = saved - LENGTH_WEIGHT * with_toxic
+                found = held[window] = float(len(ordinary(whole)) - no_word - with_toxic)
             return found
 
         return distance
@@ -164,7 +179,7 @@ class ToxicityModel:
 
 
 def features(texts: pa.Array, distance) -> np.ndarray:
-    """A row per text: largest distance (``-inf`` without a window), raised and high windows."""
+    """A row per text: largest distance (``-inf`` without a window), count and share of windows from each mark on."""
     words = Words(texts)
     out = np.zeros((len(texts), FEATURES))
     out[:, 0] = -np.inf
@@ -173,18 +188,26 @@ def features(texts: pa.Array, distance) -> np.ndarray:
         each = np.array([max(map(distance, _pieces(word))) for word in distinct])[words.ids]
         filled = words.counts() > 0
         at, n = words.first[:-1][filled], words.counts()[filled]
-        raised = np.add.reduceat((each >= RAISED).astype(np.int64), at)
-        high = np.add.reduceat((each >= HIGH).astype(np.int64), at)
+        reached = [np.add.reduceat((each >= mark).astype(np.int64), at) for mark in MARKS]
         out[filled] = np.stack(
-            [np.maximum.reduceat(each, at), np.log1p(raised), np.sqrt(raised / n), np.log1p(high)], axis=1
+            [np.maximum.reduceat(each, at), *map(np.log1p, reached), *(np.sqrt(m / n) for m in reached)], axis=1
         )
     return out
 
 
+def _row_weights(y: np.ndarray) -> np.ndarray:
+    return (0.5 / np.where(y == 1, y.mean(), 1 - y.mean())) ** BALANCE
+
+
+def _loss(scores: np.ndarray, y: np.ndarray) -> float:
+    """Weighted cross entropy."""
+    right = np.where(y == 1, scores, 1 - scores)
+    return float(-(_row_weights(y) * np.log(np.maximum(right, 1e-9))).sum())
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[tuple[float, ...], float]:
     """Weights and offset of a logistic curve, by Newton steps on standardised columns."""
-    share = np.where(y == 1, y.mean(), 1 - y.mean())
-    rows = (0.5 / share) ** BALANCE
+    rows = _row_weights(y)
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.column_stack([(x - centre) / scale, np.ones(len(x))])
     w = np.zeros(z.shape[1])
@@ -197,7 +220,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[tupl
 
 
 def fit(rows: Iterable[tuple[str, int, int]]) -> ToxicityModel:
-    """From ``(text, label, part)``: part 0 calibrates the curve, the others train the dictionaries.
+    """From ``(text, label, part)``: part 0 calibrates and chooses the settings, the others train the dictionaries.
 
     Repeated texts count once. Unless either side has texts of both labels, every
     document scores near 0.
@@ -209,12 +232,18 @@ def fit(rows: Iterable[tuple[str, int, int]]) -> ToxicityModel:
     if any((side, label) not in texts for side in (False, True) for label in (0, 1)):
         return ToxicityModel()
     ordinary = texts[True, 0]
-    model = ToxicityModel(_base(ordinary[:1500]), _extra(texts[True, 1], ordinary))
-    unseen = texts[False, 0] + texts[False, 1]
+    base = _base(ordinary[:1500])
+    unseen = pa.array(texts[False, 0] + texts[False, 1], pa.string())
     labels = np.repeat([0.0, 1.0], [len(texts[False, 0]), len(texts[False, 1])])
-    found = features(pa.array(unseen, pa.string()), model.meter())
-    model.weights, model.offset = _logistic(found, labels)
-    return model
+    best, least = ToxicityModel(), np.inf
+    for extra in _extras(texts[True, 1], ordinary):
+        model = ToxicityModel(base, extra)
+        found = features(unseen, model.meter())
+        model.weights, model.offset = _logistic(found, labels)
+        loss = _loss(model.scores(found), labels)
+        if loss < least:
+            best, least = model, loss
+    return best
 
 
 def train(

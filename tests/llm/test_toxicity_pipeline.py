@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.llm import decontamination, near_dedup, toxicity
-from caseloom.llm.queries import toxicity_model
+from caseloom.llm.queries import op9_toxicity, toxicity_model
 from caseloom.llm.words import Tokens
 
 from .conftest import ODD, prose
 from .test_text_dedup import brute_lines
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR, LARGE_DIR = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 BAD = ["grobzak", "vuxhead", "zwerkling"]
 
 
@@ -43,6 +43,25 @@ def test_held_out_documents(spark, table):
     assert {3, 4, 5} <= set(kept) and sum(k is not None and k % 5 == 0 and k >= 400 for k in kept) <= 2
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGE_DIR), reason="no test tables")
+def test_held_out_labels_in_every_language(spark):
+    docs = spark.read.parquet(f"{LARGE_DIR}/documents.parquet").select("doc_id", "lang")
+    labels = spark.read.parquet(f"{LARGE_DIR}/labels.parquet").select("doc_id", "toxic").where("toxic is not null")
+    judged = op9_toxicity(spark, LARGE_DIR).where("held_out").join(labels, "doc_id").join(docs, "doc_id")
+    found = {(r.lang, r.toxic): (r.n, r.flagged) for r in judged.groupBy("lang", "toxic").agg(
+        F.count("*").alias("n"), F.sum("predicted").alias("flagged")).collect()}
+    print(found)
+    for (_, toxic), (n, flagged) in found.items():
+        assert flagged >= 0.6 * n if toxic else flagged <= 0.03 * n
+
+
+def test_last_stretch_of_the_dictionary_is_found():
+    model = toxicity.ToxicityModel(" ".join(prose(1, 300)).encode(), b" moron achlich")
+    distance = model.meter()
+    plain = distance(b" odruvaty ")
+    assert distance(b" achlichzu ") > plain and distance(b" moron ") > plain
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (2, 0)]])
 def test_nothing_to_learn(spark, table, labels):
     model = toxicity.train(table(ODD), spark.createDataFrame(labels, "doc_id long, label int"))
