@@ -55,6 +55,14 @@ def test_held_out_labels_in_every_language(spark):
         assert flagged >= 0.6 * n if toxic else flagged <= 0.03 * n
 
 
+def test_ordinary_dictionary_reads_every_script():
+    latin = [f"a{k} " + " ".join(prose(k, 30)) for k in range(1600)]
+    cyrillic = [f"я{k} привет здравствуйте" for k in range(1600)]
+    toxic = [(f"{text} moron", 1, k % 2) for k, text in enumerate(latin[:40])]
+    model = toxicity.fit([(text, 0, k % 9) for k, text in enumerate(latin + cyrillic)] + toxic)
+    assert "приве".encode() in model.base
+
+
 def test_last_stretch_of_the_dictionary_is_found():
     model = toxicity.ToxicityModel(" ".join(prose(1, 300)).encode(), b" moron achlich")
     distance = model.meter()
