@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and logistic regression for all other URLs.
 
 The classifier reads hashed character n-grams of host and path. It is trained from a
-small labelled table, at most ``MAX_ROWS`` rows of it, with Spark's own estimators; its
+small labelled table, at most ``MAX_ROWS`` distinct rows of it, with Spark's own estimators; its
 coefficients and the feature space have a fixed size. Scoring is one narrow stage.
 """
 
@@ -88,22 +88,24 @@ class UrlClassifier:
 
     @classmethod
     def train(cls, labelled: DataFrame, max_rows: int = MAX_ROWS) -> UrlClassifier:
-        """Of a longer table, the ``max_rows`` rows with the smallest URL hash are taken."""
+        """Of a longer table, the ``max_rows`` distinct rows with the smallest URL hash are taken, with counts."""
         few = (
             labelled.where("label is not null")
             .select("host", "path", F.col("label").cast("double").alias("label"))
+            .groupBy("host", "path", "label")
+            .agg(F.count("*").cast("double").alias("n"))
             .orderBy(F.xxhash64("host", "path"), "host", "path", "label")
             .limit(max_rows)
         )
         few = few.withColumn("grams", grams(F.col("host"), F.col("path")))
-        few = few.select("grams", "label").persist()
+        few = few.select("grams", "label", "n").persist()
         try:
             seen = [row["label"] for row in few.select("label").distinct().collect()]
             if len(seen) < 2:
                 return cls(constant=seen[0] if seen else 0.0)
             steps = [
                 HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True),
-                LogisticRegression(maxIter=ITERATIONS, regParam=PENALTY, standardization=False),
+                LogisticRegression(maxIter=ITERATIONS, regParam=PENALTY, standardization=False, weightCol="n"),
             ]
             return cls(Pipeline(stages=steps).fit(few))
         finally:

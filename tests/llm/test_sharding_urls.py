@@ -101,3 +101,14 @@ def test_nothing_to_learn(spark, rows):
     model = url_filter.UrlClassifier.train(spark.createDataFrame(rows, "host string, path string, label int"))
     assert model.model is None and model.constant == (1.0 if rows else 0.0)
     assert model.score(spark.createDataFrame([("h", "/")], "host string, path string")).first()["block_score"] == model.constant
+
+
+def test_a_repeated_url_takes_one_place_of_the_sample(spark):
+    urls = [(f"h{k}.com", f"/{'bad' if k % 2 else 'good'}/{k}", k % 2) for k in range(40)]
+    first = spark.createDataFrame(urls, "host string, path string, label int").orderBy(F.xxhash64("host", "path")).first()
+    rows = spark.createDataFrame(urls + [tuple(first)] * 60, "host string, path string, label int")
+    classifier = url_filter.UrlClassifier.train(rows, max_rows=40)
+    assert classifier.model is not None
+    asked = spark.createDataFrame([("x.com", "/bad/1"), ("x.com", "/good/1")], "host string, path string")
+    found = {r.path: r.block_score for r in classifier.score(asked).collect()}
+    assert found["/good/1"] < 0.5 < found["/bad/1"]
