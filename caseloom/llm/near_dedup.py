@@ -17,7 +17,7 @@ a bucket. A bucket is not expanded into pairs:
    first leader differ by more than ``1 - SIMILARITY`` cannot be linked; and of
    ``CHECKED`` registers, linked texts agree in nearly that share (beyond four standard
    deviations, so one link in 30,000 is given up here, as one in 20,000 is by the bands).
-   All others are compared, so no link is lost to the order of comparisons.
+   All others are compared; beyond these two losses none comes from the order of comparisons.
 
 Links are confirmed on the elements themselves; classes are the connected components.
 """
