@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from caseloom.llm import (
     decontamination,
     exact_dedup,
+    lexical_search,
     line_dedup,
     near_dedup,
     pattern_packing,
     sharding,
+    simhash_dedup,
     substring_dedup,
+    token_alignment,
     token_output,
     toxicity,
     url_filter,
@@ -120,6 +123,21 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack_documents(docs, vocabulary())
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return lexical_search.ranked(docs, items)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return token_alignment.aligned_tokens(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -131,4 +149,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_pattern_packing": op10_pattern_packing,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }

@@ -110,7 +110,37 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL_SEARCH = f"""
+WITH tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tfs, corpus GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)
+), scored AS (
+  SELECT item_id, t.doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked a JOIN tfs t ON a.term = t.term JOIN weights g ON a.term = g.term
+       JOIN lengths l ON t.doc_id = l.doc_id, corpus
+  GROUP BY item_id, t.doc_id
+), ranks AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+         doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 50
+"""
+
 SQL = {
+    "op12_lexical_search": LEXICAL_SEARCH,
     "op2_sharding": SHARDING,
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_line_dedup": LINE_DEDUP,
