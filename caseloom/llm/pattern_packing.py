@@ -34,12 +34,12 @@ def _encode(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TaskContext.get().partitionId() << 40
         for table in chunks(batches, "text"):
-            flat, first = encoder(path).encode(column_of(table, "text"))
+            flat, first = encoder(path).encode_ended(column_of(table, "text"), end_id)
+            data = flat.astype("<u4")
             rows: list[tuple[int, ...]] = []
             for doc, a, b in zip(column_of(table, "id").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                ids = np.append(flat[a:b], np.uint16(end_id)).astype("<u4")
-                for number, (start, n) in enumerate(pieces_of(len(ids), capacity)):
-                    rows.append((doc, number, start, n, zlib.crc32(ids[start : start + n])))
+                for number, (start, n) in enumerate(pieces_of(b - a, capacity)):
+                    rows.append((doc, number, start, n, zlib.crc32(data[a + start : a + start + n])))
             tickets = mixed(np.arange(counter, counter + len(rows), dtype=np.uint64)) >> np.uint64(1)
             counter += len(rows)
             columns = zip(*rows, strict=True) if rows else [()] * 5

@@ -100,11 +100,10 @@ def _pack(path: str, layout: Layout):
         next_id = TaskContext.get().partitionId() << 40
         pool, size = [], 0
         for table in chunks(batches, "text"):
-            flat, first = encoder(path).encode(column_of(table, "text"))
+            flat, first = encoder(path).encode_ended(column_of(table, "text"), layout.end_id)
             for doc, a, b in zip(column_of(table, "id").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                ids = np.append(flat[a:b], np.uint16(layout.end_id))
-                for number, (start, n) in enumerate(pieces_of(len(ids), layout.capacity)):
-                    pool.append(_Piece(doc, number, start, ids[start : start + n]))
+                for number, (start, n) in enumerate(pieces_of(b - a, layout.capacity)):
+                    pool.append(_Piece(doc, number, start, flat[a + start : a + start + n]))
                     size += n
             if size > POOL_TOKENS:
                 pool, rows, next_id = emit(pool, next_id, last=False)
