@@ -27,3 +27,11 @@ def widened(schema: T.StructType, **kinds: str) -> T.StructType:
     for name, kind in kinds.items():
         out.add(name, kind)
     return out
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with more underscores in front as long as a column is called so in any case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

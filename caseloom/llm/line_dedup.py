@@ -34,13 +34,14 @@ NO_ID = -(1 << 63)
 
 
 class PerfectHash:
-    """Numbers ``n`` distinct 64-bit keys from 0 to ``n - 1``.
+    """Numbers ``n`` distinct keys, of one or two 64-bit numbers each, from 0 to ``n - 1``.
 
     Level by level, keys that fall on a place of their own in a bit array stay there;
     the others go on to the next, smaller level. A key's number is the rank of its bit.
     """
 
-    SPREAD = 2
+    #: Places for each key of a level; levels after which keys are looked at for repeated ones.
+    SPREAD, MANY_LEVELS = 2, 64
 
     def __init__(self, levels: list[np.ndarray]):
         self.levels = levels
@@ -48,13 +49,17 @@ class PerfectHash:
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        """Each level deals keys anew from all their bits, so keys that agree in one number come apart."""
         salt = np.uint64((0x9E3779B97F4A7C15 * (level + 1)) % (1 << 64))
-        return (mixed(keys + salt) % np.uint64(size)).astype(np.int64)
+        value = mixed(keys + salt) if keys.ndim == 1 else mixed(mixed(keys[:, 0] + salt) + keys[:, 1])
+        return (value % np.uint64(size)).astype(np.int64)
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
         levels = []
         while len(keys):
+            if len(levels) == cls.MANY_LEVELS and len(np.unique(keys, axis=0)) < len(keys):
+                raise ValueError("keys must be distinct")
             size = max(64, cls.SPREAD * len(keys))
             place = cls._place(keys, len(levels), size)
             alone = np.bincount(place, minlength=size) == 1
@@ -129,8 +134,8 @@ def _send(min_chars: int):
 def _build(table: pa.Table) -> pa.Table:
     """The arrays of one shard, as one value."""
     halves = _halves(column_of(table, "digest"))
-    function = PerfectHash.build(halves[:, 0].copy())
-    number = function.number(halves[:, 0])
+    function = PerfectHash.build(halves)
+    number = function.number(halves)
     arrays = {}
     for name, values in (("print", halves[:, 1]), ("count", column_of(table, "n")), ("last", column_of(table, "last"))):
         values = np.asarray(values)
@@ -158,7 +163,7 @@ class Shard:
     def drops(self, digests: pa.Array, ids: np.ndarray) -> np.ndarray:
         """Which documents lose the line: its key is here, and a larger id holds it."""
         halves = _halves(digests)
-        number = self.function.number(halves[:, 0])
+        number = self.function.number(halves)
         found = number >= 0
         at = np.where(found, number, 0)
         return found & (self.prints[at] == halves[:, 1]) & (self.last[at] > ids)

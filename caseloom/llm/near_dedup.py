@@ -115,7 +115,7 @@ def bands_of(signature: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in chunks(batches, "text"):
+    for table in chunks(batches, "text", row_bytes=4 * REGISTERS):
         tokens = Tokens(column_of(table, "text"))
         n = table.num_rows
         data, edges = tokens.hashes.tobytes(), (tokens.first * 8).tolist()
@@ -205,7 +205,7 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``node, checked``: the registers that are compared before texts are, a byte each."""
-    for table in chunks(batches, "text"):
+    for table in chunks(batches, "text", row_bytes=4 * CHECKED):
         n = table.num_rows
         values, text, counts, _ = weighted(*shingles(Tokens(column_of(table, "text"))), n)
         found = (signatures(values, text, counts, n, CHECKED) & np.uint64(255)).astype(np.uint8)

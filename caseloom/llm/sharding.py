@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from caseloom.llm.common import unused
+
 # Multiplier and increment of the generator.
 MULTIPLIER, INCREMENT = 2862933555777941757, 1
 
@@ -88,24 +90,25 @@ def shard_by_key(df: DataFrame, key: str, n_shards: int, *, blocks: int = BLOCKS
 
     Null keys share key number 0; repeated keys share shard and block and get slots of
     their own; an empty table stays empty. Columns of ``df`` named like the three new
-    ones are replaced; the names ``_block`` and ``_first`` are reserved.
+    ones are replaced.
     """
     number = key_number(df, key)
+    block, rows, first, rank = (unused(name, df.columns) for name in ("_block", "_rows", "_first", "_rank"))
     placed = df.drop("shard", "slot", "grown_shard").select(
         "*",
         jump_shard(number, n_shards).alias("shard"),
         jump_shard(number, n_shards + 1).alias("grown_shard"),
-        block_of(number, blocks).alias("_block"),
+        block_of(number, blocks).alias(block),
     )
-    sizes = placed.groupBy("shard", "_block").agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("shard", block).agg(F.count("*").alias(rows))
+    before = Window.partitionBy("shard").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select(
-        "shard", "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first")
+        "shard", block, F.coalesce(F.sum(rows).over(before), F.lit(0)).alias(first)
     )
-    rank = F.row_number().over(Window.partitionBy("shard", "_block").orderBy(key))
+    ranked = F.row_number().over(Window.partitionBy("shard", block).orderBy(key))
     return (
-        placed.withColumn("_rank", rank)
-        .join(F.broadcast(firsts), ["shard", "_block"])
-        .withColumn("slot", F.col("_first") + F.col("_rank") - 1)
-        .drop("_rank", "_first", "_block")
+        placed.withColumn(rank, ranked)
+        .join(F.broadcast(firsts), ["shard", block])
+        .withColumn("slot", F.col(first) + F.col(rank) - 1)
+        .drop(rank, first, block)
     )

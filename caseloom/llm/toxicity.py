@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import widened
+from caseloom.llm.common import unused, widened
 from caseloom.llm.words import Words, chunks, column_of
 
 #: Bounds of the labelled sample.
@@ -276,8 +276,8 @@ def train(
     return fit(tuple(row) for row in rows.collect())
 
 
-def _score(model: ToxicityModel, text: str, keep: list[str]):
-    """The columns ``keep``, then distance and score."""
+def _score(model: ToxicityModel, text: str, keep: list[str], names: tuple[str, str] = ("distance", "score")):
+    """The columns ``keep``, then distance and score under ``names``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = model.meter() if model.weights else (lambda window: 0.0)
@@ -285,7 +285,7 @@ def _score(model: ToxicityModel, text: str, keep: list[str]):
             found = features(column_of(table, text), distance)
             new = [pa.array(found[:, 0]), pa.array(model.scores(found))]
             columns = [*(column_of(table, name) for name in keep), *new]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "_distance", "_score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
     return run
 
@@ -304,8 +304,9 @@ def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str
 def clean_rows(docs: DataFrame, model: ToxicityModel, text: str = "text", cut: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score below ``cut``, all columns, in one narrow stage.
 
-    Rows without text stay. The names ``_distance`` and ``_score`` are reserved.
+    Rows without text stay.
     """
-    schema = widened(docs.schema, _distance="double", _score="double")
-    scored = docs.mapInArrow(_score(model, text, docs.columns), schema)
-    return scored.where(F.col("_score") < cut).select(*docs.columns)
+    names = unused("_distance", docs.columns), unused("_score", docs.columns)
+    schema = widened(docs.schema, **dict.fromkeys(names, "double"))
+    scored = docs.mapInArrow(_score(model, text, docs.columns, names), schema)
+    return scored.where(F.col(names[1]) < cut).select(*docs.columns)

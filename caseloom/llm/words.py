@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Texts are worked on in chunks of about so many bytes.
-CHUNK_BYTES = 4 << 20
+#: Texts are worked on in chunks of about so many bytes; every row counts as so many besides.
+CHUNK_BYTES, ROW_BYTES = 4 << 20, 64
 
 # Odd multipliers of the polynomial hashes and of the final mixing.
 BYTE_FACTOR = 0x9E3779B97F4A7C15
@@ -136,15 +136,19 @@ class Words:
         return pc.binary_join(one, pa.scalar(" ", self.strings.type))[0].as_buffer().to_pybytes(), ends - lengths, ends
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.Table]:
+def chunks(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES, row_bytes: int = ROW_BYTES
+) -> Iterator[pa.Table]:
     """Rows of a task regrouped so that ``column`` holds about ``limit`` bytes in each table.
 
-    A longer text makes a table of its own; rows are never cut.
+    Each row counts ``row_bytes`` more, so that very many empty or short texts are no larger
+    a table than long ones; a caller that keeps more for a row names its own. A longer text
+    makes a table of its own; rows are never cut.
     """
     kept: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64) + row_bytes
         at = 0
         while at < batch.num_rows:
             room = np.searchsorted(np.cumsum(lengths[at:]), limit - size, side="right")
