@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,36 @@ def test_rows_of_one_key_add_up(spark, block):
     assert sorted(map(tuple, got)) == [("a", "Money", 2), ("a", "Refund", 6), ("a", "X", 1)]
 
 
+def test_a_hundred_thousand_rules_equal_brute_force(spark):
+    rng = random.Random(11)
+    letters = "abcdefgh é"
+    texts = {i: "".join(rng.choice(letters) for _ in range(rng.randint(0, 300))) for i in range(60)}
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(180_000)})
+    rules_rows = [(f"C{n % 40}", word, 1 + n % 4) for n, word in enumerate(words)]
+    rules_rows += [("Again", word, 2) for word in words[:500]] + rules_rows[:3]
+    assert len(rules_rows) > 100_000
+    held = {i: Counter((c, w) for c, word, w in rules_rows if word in t) for i, t in texts.items()}
+    docs = spark.createDataFrame([*texts.items(), (99, None)], "i int, t string").repartition(3)
+    table = spark.createDataFrame(pd.DataFrame(rules_rows, columns=["category", "keyword", "weight"]))
+    got = rule_table.matched_rules(docs, table, "i", "t")
+    found = Counter((r.i, r.category, r.weight) for r in got.collect())
+    assert found == Counter({(i, c, w): n for i, own in held.items() for (c, w), n in own.items()})
+    scores = {(r.i, r.category): r.score for r in rule_table.keyword_scores(docs, table, "i", "t").collect()}
+    want = Counter()
+    for i, own in held.items():
+        for (c, w), n in own.items():
+            want[i, c] += w * n
+    assert scores == dict(want)
+
+
+def test_rules_of_any_number_take_one_pass_without_a_join(spark):
+    docs = spark.createDataFrame([(1, "x")], "i int, t string")
+    table = spark.createDataFrame([("C", f"word{n}", 1) for n in range(6000)], "category string, keyword string, weight long")
+    plan = rule_table.matched_rules(docs, table, "i", "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert not any(word in plan for word in ("Join", "Exchange", "Generate"))
+
+
 def test_fields_at_the_end_of_a_long_document(spark, form):
     """Whole texts are read: nothing is cut unless a limit is given."""
     text = "Nothing to see here at all, only filler.\n" * 2500 + form
