@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,14 +33,14 @@ def scan_phone(field: Column) -> Column:
     return _first_match(field, PHONE_SCAN)
 
 
-def valid_email(c: Column) -> Column:
+def valid_email(c: Column, clean: Callable[[Column], Column] = blank_to_none) -> Column:
     """Lower-cased address, or null when it is not one."""
-    bare = F.lower(F.btrim(blank_to_none(c), F.lit("<>,;")))
+    bare = F.lower(F.btrim(clean(c), F.lit("<>,;")))
     return F.when(bare.rlike(EMAIL_VALID), bare)
 
 
-def valid_phone(c: Column) -> Column:
+def valid_phone(c: Column, clean: Callable[[Column], Column] = blank_to_none) -> Column:
     """The cleaned text as written, or null when its length is implausible."""
-    cleaned = blank_to_none(c)
+    cleaned = clean(c)
     digits = F.ltrim(F.regexp_replace(cleaned, r"[^\p{Nd}+]", ""), F.lit("+"))
     return F.when(F.char_length(digits).between(*PHONE_DIGITS), cleaned)

@@ -47,10 +47,14 @@ def collapse_ws(c: Column) -> Column:
     return F.btrim(F.regexp_replace(c, rf"{_SPACE}{{2,}}|{odd}", " "))
 
 
+def placeholder_to_none(collapsed: Column) -> Column:
+    """Text whose whitespace is collapsed already; placeholder text becomes null."""
+    return F.when(~F.lower(collapsed).isin(*fv.NULL_PLACEHOLDERS), collapsed)
+
+
 def blank_to_none(c: Column) -> Column:
     """Collapse whitespace and turn placeholder text into null."""
-    cleaned = collapse_ws(c)
-    return F.when(~F.lower(cleaned).isin(*fv.NULL_PLACEHOLDERS), cleaned)
+    return placeholder_to_none(collapse_ws(c))
 
 
 def clean_value(c: Column) -> Column:

@@ -3,6 +3,11 @@
 An answer is a JSON text. It becomes a struct only when every field is present,
 of the declared type, inside its vocabulary and non-blank where required;
 otherwise the struct is null and the violation list says why. Nothing raises.
+
+The text is parsed once, to a map of variants; kinds and values are read from its members.
+Members, kinds, values and collapsed texts are arrays in the order of the fields, each a layer
+of its own: none is worked out again wherever it is used, and the generated code has one step
+for each layer and not one for each field.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import types as T
 
 from caseloom import fixed_values as fv
 from caseloom.functions.contacts import valid_email, valid_phone
-from caseloom.functions.text import blank_to_none, collapse_ws
+from caseloom.functions.text import blank_to_none, collapse_ws, placeholder_to_none
 from caseloom.operators.drafting import clean_email, clean_summary
 from caseloom.plans.sealing import sealed
 from caseloom.schemas import CASE_SUMMARY, CUSTOMER_EMAIL, EXTRACTION
@@ -39,11 +44,6 @@ FALSE_WORDS = ("0", "off", "f", "false", "n", "no")
 NOT_AN_OBJECT = "answer is not a JSON object"
 
 
-def _kind(node: Column, name: str) -> Column:
-    """SQL type of one JSON member; null when the member is missing."""
-    return F.schema_of_variant(F.try_variant_get(node, f"$.{name}", "variant"))
-
-
 def _worded_flag(raw: Column) -> Column:
     word = F.lower(raw)
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
@@ -57,8 +57,8 @@ def _flag(raw: Column) -> Column:
     )
 
 
-def _field_problem(field: T.StructField, kind: Column, raw: Column) -> Column:
-    """The first problem of one field as text, null when it is right."""
+def _field_problem(field: T.StructField, kind: Column, raw: Column, flat: Column) -> Column:
+    """The first problem of one field as text, null when it is right; ``flat`` is its collapsed text."""
     name = field.name
 
     def say(what: str) -> Column:
@@ -80,41 +80,51 @@ def _field_problem(field: T.StructField, kind: Column, raw: Column) -> Column:
     problem = problem.when(kind != "STRING", say("not a string"))
     if name in VOCABULARIES:
         return problem.when(~raw.isin(*VOCABULARIES[name]), say("not in the vocabulary"))
-    return problem.when(collapse_ws(raw) == "", say("must not be empty"))
+    return problem.when(flat == "", say("must not be empty"))
 
 
-def _raw_schema(schema: T.StructType) -> T.StructType:
-    """Flags are read as text first, so that their spellings can be checked."""
-    return T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BooleanType) else f.dataType)
-            for f in schema.fields
-        ]
-    )
+def _collapsed(answer: Column, raw: Column) -> Column:
+    """``collapse_ws`` of a member's text.
+
+    An ASCII answer without an escape has no blanks in its texts but spaces.
+    """
+    only_spaces = (F.octet_length(answer) == F.char_length(answer)) & ~answer.contains("\\")
+    return F.when(only_spaces & ~raw.contains("  "), F.btrim(raw, F.lit(" "))).otherwise(collapse_ws(raw))
 
 
-def clean_extraction(x: Column, flag=lambda c: c) -> Column:
+def _cleaners(clean, text, flag) -> dict:
     """The field rules of a record: placeholders, whitespace, contact formats."""
-    cleaners = {name: blank_to_none for name in OPTIONAL}
-    cleaners.update(email=valid_email, phone_number=valid_phone, issue_description=collapse_ws)
+    cleaners = {name: clean for name in OPTIONAL}
+    cleaners.update(
+        email=lambda c: valid_email(c, clean), phone_number=lambda c: valid_phone(c, clean), issue_description=text
+    )
     for field in EXTRACTION.fields:
         if isinstance(field.dataType, T.BooleanType):
             cleaners[field.name] = flag
-    return F.when(
-        x.isNotNull(),
-        F.struct(
-            *(
-                cleaners.get(name, lambda c: c)(x[name]).alias(name)
-                for name in EXTRACTION.fieldNames()
-            )
-        ),
-    )
+    return cleaners
+
+
+def clean_extraction(x: Column) -> Column:
+    """A record with the field rules applied; null stays null."""
+    cleaners = _cleaners(blank_to_none, collapse_ws, lambda c: c)
+    fields = (cleaners.get(name, lambda c: c)(x[name]).alias(name) for name in EXTRACTION.fieldNames())
+    return F.when(x.isNotNull(), F.struct(*fields))
+
+
+def _checked_extraction(raw: Column, flat: Column) -> Column:
+    """The same from texts that are collapsed already."""
+    cleaners = _cleaners(placeholder_to_none, lambda c: c, _flag)
+    fields = []
+    for name in EXTRACTION.fieldNames():
+        source = flat if name in OPTIONAL or name == "issue_description" else raw
+        fields.append(cleaners.get(name, lambda c: c)(source[name]).alias(name))
+    return F.struct(*fields)
 
 
 TASKS = {
-    "extraction": (EXTRACTION, lambda raw: clean_extraction(raw, _flag)),
-    "customer_email": (CUSTOMER_EMAIL, clean_email),
-    "case_summary": (CASE_SUMMARY, clean_summary),
+    "extraction": (EXTRACTION, _checked_extraction),
+    "customer_email": (CUSTOMER_EMAIL, lambda raw, flat: clean_email(raw)),
+    "case_summary": (CASE_SUMMARY, lambda raw, flat: clean_summary(raw)),
 }
 
 
@@ -129,35 +139,54 @@ def read_responses(df: DataFrame, task: str, answer: str, into: str | None = Non
         raise ValueError(f"unknown task {task!r}: one of {', '.join(TASKS)}")
     schema, clean = TASKS[task]
     keep = df.columns
-    text, node, raw = F.col(answer), F.col("_node"), F.col("_raw")
+    fields, text = schema.fields, F.col(answer)
+    members, kinds, raw, flat = (F.col(f"_{layer}") for layer in ("members", "kinds", "raw", "flat"))
+    at = {f.name: F.lit(k) for k, f in enumerate(fields)}
+
+    def value(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.ArrayType):
+            return F.try_variant_get(F.get(members, at[f.name]), "$", "array<string>")
+        return F.get(raw, at[f.name])
+
+    parsed = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    df = df.select(*keep, parsed.alias("_parsed"))
+    names = F.array(*(F.lit(f.name) for f in fields))
     df = df.select(
         *keep,
-        F.try_parse_json(text).alias("_node"),
-        F.from_json(text, _raw_schema(schema), {"mode": "PERMISSIVE"}).alias("_raw"),
+        F.col("_parsed").isNotNull().alias("_object"),
+        F.transform(names, lambda name: F.try_element_at("_parsed", name)).alias("_members"),
     )
-    # The kinds get a layer of their own, so that each member is looked at once.
+    # Flags are read as text, so that their spellings can be checked.
     df = df.select(
         *keep,
-        "_raw",
-        F.struct(
-            F.coalesce(F.schema_of_variant(node).startswith("OBJECT"), F.lit(False)).alias("_object"),
-            *(_kind(node, f.name).alias(f.name) for f in schema.fields),
-        ).alias("_kinds"),
+        "_object",
+        "_members",
+        F.transform(members, F.schema_of_variant).alias("_kinds"),
+        F.transform(members, lambda m: F.try_variant_get(m, "$", "string")).alias("_raw"),
     )
-    kinds = F.col("_kinds")
+    df = df.select("*", F.transform(raw, lambda r: _collapsed(text, r)).alias("_flat"))
     problems = F.array_compact(
-        F.array(*(_field_problem(f, kinds[f.name], raw[f.name]) for f in schema.fields))
+        F.array(
+            *(
+                _field_problem(f, F.get(kinds, at[f.name]), value(f), F.get(flat, at[f.name]))
+                for f in fields
+            )
+        )
     )
-    is_object = kinds["_object"]
     violations = (
         F.when(text.isNull(), F.lit(None))
-        .when(~is_object, F.array(F.lit(NOT_AN_OBJECT)))
+        .when(~F.col("_object"), F.array(F.lit(NOT_AN_OBJECT)))
         .otherwise(problems)
     )
-    df = df.select(*keep, "_raw", violations.alias(f"{into}_violations"))
     df = df.select(
         *keep,
-        F.when(F.size(f"{into}_violations") == 0, clean(raw)).alias(into),
+        F.struct(*(value(f).alias(f.name) for f in fields)).alias("_raw"),
+        F.struct(*(F.get(flat, at[f.name]).alias(f.name) for f in fields)).alias("_flat"),
+        violations.alias(f"{into}_violations"),
+    )
+    df = df.select(
+        *keep,
+        F.when(F.size(f"{into}_violations") == 0, clean(raw, flat)).alias(into),
         f"{into}_violations",
     )
     return sealed(df, into, f"{into}_violations")
