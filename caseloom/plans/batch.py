@@ -14,6 +14,7 @@ from caseloom.operators.inference import Model
 from caseloom.operators.report import run_counts
 from caseloom.plans.workflow import RULES, RULES_MODEL, process_documents
 from caseloom.sinks import outputs
+from caseloom.sinks.commit import StagedRun
 from caseloom.sources.documents import Extractor, load_documents
 from caseloom.sources.manifest import discover, eligible_files, list_folder, skipped_files
 
@@ -70,17 +71,19 @@ def run_batch(
     """Process every eligible document of ``input_dir``.
 
     The case table is written first; every other output is derived from it, so
-    documents are read and parsed once.
+    documents are read and parsed once. All outputs are written aside and put in place
+    together at the end (see ``sinks.commit``): a run that dies leaves those of the run before.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     files = discover(list_folder(spark, input_dir))
     started = datetime.now(timezone.utc)
     options = {"max_chars": max_chars, "task_mode": task_mode, "workers": workers}
+    run = StagedRun(spark, output_dir)
 
     texts = load_documents(spark, input_dir, files, extractors=extractors, limit=limit)
-    table = f"{output_dir}/{CASES}"
-    process_documents(texts, provider, **options).write.mode("overwrite").parquet(table)
+    table = f"{run.folder}/{CASES}"
+    process_documents(texts, provider, **options).write.parquet(table)
     cases = spark.read.parquet(table)
     missing = process_documents(_unreported(eligible_files(files, limit), cases))
     missing.write.mode("append").parquet(table)
@@ -88,13 +91,17 @@ def run_batch(
 
     skipped = skipped_files(files)
     if layout == "files":
-        outputs.write_case_files(cases, output_dir)
+        failed = outputs.write_case_files(cases, run.folder)
+        if not failed.isEmpty():
+            outputs.with_write_errors(cases, failed).write.parquet(f"{table}_with_errors")
+            run.replace(CASES, by=f"{CASES}_with_errors")
+            cases = spark.read.parquet(table)
     else:
-        outputs.write_structured(cases, output_dir)
-        outputs.write_emails(cases, output_dir)
-        outputs.write_summaries(cases, output_dir)
-    outputs.write_report(cases, output_dir)
-    outputs.write_skipped(skipped, output_dir)
+        outputs.write_structured(cases, run.folder)
+        outputs.write_emails(cases, run.folder)
+        outputs.write_summaries(cases, run.folder)
+    outputs.write_report(cases, run.folder)
+    outputs.write_skipped(skipped, run.folder)
 
     finished = datetime.now(timezone.utc)
     by_model = isinstance(provider, Model)
@@ -108,5 +115,6 @@ def run_batch(
         "batch_workers": workers,
         **run_counts(cases, skipped).first().asDict(),
     }
-    manifest = outputs.write_run_manifest(spark, figures, output_dir)
-    return BatchResult(cases, skipped, manifest)
+    manifest = outputs.write_run_manifest(spark, figures, run.folder, output_dir)
+    run.commit()
+    return BatchResult(spark.read.parquet(f"{output_dir}/{CASES}"), skipped, manifest)
