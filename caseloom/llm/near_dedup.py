@@ -12,14 +12,15 @@ a bucket. A bucket is not expanded into pairs:
 
 1. Its members are compared with the one that meets the most others, the likely original.
 2. Where members stay apart, they are compared with one of them drawn at random.
-3. What is left are pairs of members that are not connected. Most are ruled out without
-   looking at their texts: distance is a metric, so two members whose similarities to the
-   first leader differ by more than ``1 - SIMILARITY`` cannot be linked; and of
-   ``CHECKED`` registers, linked texts agree in nearly that share (beyond four standard
-   deviations, so one link in 30,000 is given up here, as one in 20,000 is by the bands).
-   All others are compared; beyond these two losses none comes from the order of comparisons.
-
-Links are confirmed on the elements themselves; classes are the connected components.
+3. What is left are pairs of members that are not connected. They are compared where the
+   bucket lies: its rows carry their elements, an index of which counts what a member shares
+   with all others at once. Distance is a metric, so two members whose similarities to the first
+   leader differ by more than ``1 - SIMILARITY`` need no look, nor do members connected
+   meanwhile. A bucket hands on no more links than join its members to trees, so its output
+   grows with its rows and not with their pairs.
+
+Links are confirmed on the elements themselves; classes are the connected components. Bands
+miss one link at 0.8 in 20,000; beyond that none is lost.
 """
 
 from __future__ import annotations
@@ -39,15 +40,13 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: 25 bands of 5: documents at 0.8 meet with probability 0.99995.
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Registers compared before two texts are.
-CHECKED = 512
-#: Rows of a bucket that one place compares; larger buckets are dealt to pairs of blocks.
-BLOCK_ROWS = 4096
+#: Rows and elements of a bucket that one place compares; larger buckets are dealt to pairs of blocks.
+BLOCK_ROWS, BLOCK_ELEMENTS = 4096, 2_000_000
 #: Comparisons with one leader are spread over so many places.
 SALTS = 16
 NO_ID = -(1 << 63)
 
-SKETCH = "id long, mark long, node binary, bands array<long>"
+SKETCH = "id long, mark long, node binary, bands array<long>, width int"
 
 
 def shingles(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
@@ -98,8 +97,9 @@ def signatures(
         first = now == best[place]
         winner[place[first]] = values[active[first]]
         # Later arrivals of an element only come later: beyond the slowest register it is done.
-        slowest = best.reshape(n_texts, registers).max(axis=1)
-        active = active[now < slowest[text[active]]]
+        new = np.append(True, text[active][1:] != text[active][:-1])
+        slowest = best.reshape(n_texts, registers)[text[active][new]].max(axis=1)
+        active = active[now < slowest[np.cumsum(new) - 1]]
         step += 1
     return winner.reshape(n_texts, registers)
 
@@ -123,14 +123,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashlib.blake2b(data[a:b], digest_size=16).digest() if b > a else None
             for a, b in zip(edges[:-1], edges[1:], strict=True)
         ]
-        values, text, counts, _ = weighted(*shingles(tokens), n)
+        values, text, counts, first = weighted(*shingles(tokens), n)
         bands = bands_of(signatures(values, text, counts, n)).view(np.int64)
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(0, (n + 1) * BANDS, BANDS), pa.int32()), pa.array(bands.ravel())
         )
         yield pa.RecordBatch.from_arrays(
-            [column_of(table, "id"), column_of(table, "mark"), pa.array(nodes, pa.binary()), lists],
-            names=["id", "mark", "node", "bands"],
+            [
+                column_of(table, "id"), column_of(table, "mark"), pa.array(nodes, pa.binary()), lists,
+                pa.array(np.diff(first).astype(np.int32)),
+            ],
+            names=["id", "mark", "node", "bands", "width"],
         )
 
 
@@ -203,59 +206,102 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 # -- pairs that leaders did not settle ---------------------------------------------------
 
 
-def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``node, checked``: the registers that are compared before texts are, a byte each."""
-    for table in chunks(batches, "text", row_bytes=4 * CHECKED):
-        n = table.num_rows
-        values, text, counts, _ = weighted(*shingles(Tokens(column_of(table, "text"))), n)
-        found = (signatures(values, text, counts, n, CHECKED) & np.uint64(255)).astype(np.uint8)
+def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, elements, weights``: a node's elements in order, 8 bytes each, and their counts, 4 bytes each."""
+    for table in chunks(batches, "text"):
+        found = _elements(column_of(table, "text"))
         yield pa.RecordBatch.from_arrays(
-            [column_of(table, "node"), pa.array([row.tobytes() for row in found], pa.binary())],
-            names=["node", "checked"],
+            [
+                column_of(table, "node"), pa.array([v.tobytes() for v, _ in found], pa.binary()),
+                pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary()),
+            ],
+            names=["node", "elements", "weights"],
         )
 
 
 class _Place:
-    """The rows of one bucket, or of two blocks of one."""
+    """The rows of one bucket, or of two blocks of one.
+
+    ``shared`` are all elements in order, and ``holder`` the row of each: what a row shares
+    with the others is counted over its elements' holders.
+    """
 
     def __init__(self, table: pa.Table):
         self.nodes = column_of(table, "node").to_pylist()
         self.side = np.asarray(column_of(table, "side"))
-        self.label = np.asarray(column_of(table, "label").dictionary_encode().indices)
+        self.label = np.asarray(column_of(table, "label").dictionary_encode().indices).astype(np.int64)
         self.pivot = np.asarray(column_of(table, "pivot"))
         lists = column_of(table, "bands")
         self.bands = np.asarray(lists.flatten()).reshape(len(lists), BANDS)
         self.bucket = column_of(table, "bucket")[0].as_py()
-        data = b"".join(column_of(table, "checked").to_pylist())
-        self.checked = np.frombuffer(data, np.uint8).reshape(-1, CHECKED)
-
-    def pairs(self, similarity: float, least: int) -> Iterator[tuple[bytes, bytes]]:
-        """Pairs that may be linked, each only in the first bucket that its two nodes share."""
+        elements = column_of(table, "elements").to_pylist()
+        self.first = np.append(0, np.cumsum([len(e) // 8 for e in elements]))
+        self.values = np.frombuffer(b"".join(elements), np.uint64)
+        self.weights = np.frombuffer(b"".join(column_of(table, "weights").to_pylist()), np.int32)
+        order = np.argsort(self.values, kind="stable")
+        self.shared, holders = self.values[order], np.repeat(np.arange(len(elements)), np.diff(self.first))
+        self.holder, self.times = holders[order], self.weights[order]
+        self.total = np.add.reduceat(self.weights.astype(np.int64), self.first[:-1])
+        self.plain = self.total == np.diff(self.first)
+
+    def _own(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.first[k], self.first[k + 1])
+        return self.values[part], self.weights[part]
+
+    def _linked(self, k: int, rows: np.ndarray, similarity: float) -> np.ndarray:
+        """Which of ``rows`` are linked to row ``k``."""
+        values, weights = self._own(k)
+        lo, hi = np.searchsorted(self.shared, values), np.searchsorted(self.shared, values, side="right")
+        counts = hi - lo
+        stops = np.cumsum(counts)
+        at = np.arange(stops[-1]) + np.repeat(lo - (stops - counts), counts)
+        holder, n = self.holder[at], len(self.nodes)
+        both = np.bincount(holder, minlength=n)[rows]
+        if self.plain[k] and self.plain[rows].all():
+            return rows[both >= similarity * (len(values) + self.total[rows] - both) - 1e-9]
+        # The similarity is at most the share of either text's weight that the other has, too.
+        mine = np.bincount(holder, weights=np.repeat(weights, counts), minlength=n)[rows] / self.total[k]
+        theirs = np.bincount(holder, weights=self.times[at], minlength=n)[rows] / self.total[rows]
+        rows = rows[np.minimum(mine, theirs) >= similarity - 1e-9]
+        near = [probability_jaccard(values, weights, *self._own(j)) >= similarity for j in rows.tolist()]
+        return rows[np.array(near, bool)]
+
+    def links(self, similarity: float) -> Iterator[tuple[bytes, bytes]]:
+        """Links that join whatever all links of the place join.
+
+        A pair belongs to the first bucket that its two nodes share.
+        """
         at = int(np.flatnonzero((self.bands == self.bucket).all(axis=0))[0])
         two = bool(self.side.any())
-        for k, node in enumerate(self.nodes):
-            if two and self.side[k]:
-                continue
-            rows = np.flatnonzero(self.side) if two else np.arange(k + 1, len(self.nodes))
-            rows = rows[self.label[rows] != self.label[k]]
+        # Members of the largest component are met by all others and need not look themselves.
+        large = self.label == np.bincount(self.label).argmax()
+        for k in np.flatnonzero(~large).tolist():
+            free = self.label != self.label[k]
+            free &= large | (np.arange(len(free)) > k)
+            if two:
+                free &= self.side != self.side[k]
+            rows = np.flatnonzero(free)
             rows = rows[np.abs(self.pivot[rows] - self.pivot[k]) <= 1 - similarity + 1e-9]
             if at:
                 rows = rows[~(self.bands[rows, :at] == self.bands[k, :at]).any(axis=1)]
-            rows = rows[(self.checked[rows] == self.checked[k]).sum(axis=1) >= least]
-            for other in rows.tolist():
-                yield (node, self.nodes[other]) if node < self.nodes[other] else (self.nodes[other], node)
+            if not len(rows):
+                continue
+            for other in self._linked(k, rows, similarity).tolist():
+                if self.label[other] != self.label[k]:
+                    self.label[self.label == self.label[other]] = self.label[k]
+                    yield self.nodes[k], self.nodes[other]
 
 
-def _pairs(similarity: float, least: int):
+def _place_links(similarity: float):
     """Rows come sorted by place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def settled() -> pa.RecordBatch:
-            found = list(_Place(pa.Table.from_batches(held)).pairs(similarity, least))
+            found = list(_Place(pa.Table.from_batches(held)).links(similarity))
             return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["leader", "node"]
+                [pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"]
             )
 
         place = None
@@ -276,30 +322,31 @@ def _pairs(similarity: float, least: int):
     return run
 
 
-def _unsettled_pairs(
+def _unsettled_links(
     entries: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, block_rows: int
 ) -> DataFrame:
-    """``leader, node`` of the pairs worth comparing. ``entries``: ``bucket, node, label, pivot``.
+    """``a, b``: links between members that are not connected. ``entries``: ``bucket, node, label, pivot``.
 
-    A bucket of more than ``block_rows`` is dealt to all pairs of its blocks.
+    A bucket of more than ``block_rows``, or of more elements than a place may hold, is dealt
+    to all pairs of its blocks.
     """
-    least = int(CHECKED * similarity - 4 * (CHECKED * similarity * (1 - similarity)) ** 0.5)
-    checked = texts.join(entries.select("node").distinct(), "node").mapInArrow(
-        _check, "node binary, checked binary"
+    carried = texts.join(entries.select("node").distinct(), "node").mapInArrow(
+        _carry, "node binary, elements binary, weights binary"
     )
-    sizes = entries.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    rows = entries.join(sizes, "bucket").join(nodes.select("node", "bands"), "node").join(checked, "node")
+    rows = entries.join(nodes.select("node", "bands", "width"), "node")
+    blocks = F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("width") / BLOCK_ELEMENTS))
+    sizes = rows.groupBy("bucket").agg(blocks.cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = rows.withColumn("mine", mine).select(
+    dealt = rows.join(sizes, "bucket").withColumn("mine", mine).select(
         "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("theirs")
     )
     dealt = dealt.select(
         "bucket", F.least("mine", "theirs").alias("one"), F.greatest("mine", "theirs").alias("two"),
         F.when(F.col("mine") > F.col("theirs"), 1).otherwise(0).alias("side"),
-        "node", "label", "pivot", "bands", "checked",
-    )
+        "node", "label", "pivot", "bands",
+    ).join(carried, "node")
     sorted_rows = dealt.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
-    return sorted_rows.mapInArrow(_pairs(similarity, least), "leader binary, node binary")
+    return sorted_rows.mapInArrow(_place_links(similarity), "a binary, b binary")
 
 
 # -- components ------------------------------------------------------------------------
@@ -360,7 +407,7 @@ def near_duplicates(
     )
     sketches = settle(work.mapInArrow(_sketch, SKETCH), "sketches")
     nodes = sketches.where("node is not null").groupBy("node").agg(
-        F.min(F.struct("id", "mark", "bands")).alias("first")
+        F.min(F.struct("id", "mark", "bands", "width")).alias("first")
     ).select("node", "first.*")
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -387,7 +434,7 @@ def near_duplicates(
     drawn = F.min_by(F.struct("node", "label"), F.xxhash64("node", "bucket")).alias("drawn")
     pairs = entries.join(entries.groupBy("bucket").agg(drawn), "bucket").where("label != drawn.label")
     pairs = pairs.select(F.col("drawn.node").alias("leader"), "node").distinct()
-    second = settle(_compare(_not_yet(pairs, compared), texts), "second")
+    second = settle(_compare(pairs, texts), "second")
     links = _links(compared, similarity).unionByName(_links(second, similarity))
     labels = settle(components(links), "labels")
 
@@ -397,12 +444,10 @@ def near_duplicates(
     entries = entries.join(pivot, ["leader", "node"], "left").select(
         "bucket", "node", "label", F.coalesce("pivot", F.lit(1.0)).alias("pivot")
     )
-    pairs = _unsettled_pairs(settle(entries, "apart"), nodes, texts, similarity, block_rows)
-    pairs = _not_yet(_not_yet(pairs, compared), second)
-    third = settle(_compare(settle(pairs, "pairs"), texts), "third")
-    last = _links(third, similarity)
-    if not last.isEmpty():
-        labels = settle(components(links.unionByName(last)), "labels")
+    third = _unsettled_links(settle(entries, "apart"), nodes, texts, similarity, block_rows)
+    third = settle(third, "third")
+    if not third.isEmpty():
+        labels = settle(components(links.unionByName(third)), "labels")
     members = members.join(labels, "node", "left").select(
         "id", "mark", F.coalesce("label", "node").alias("label")
     )
@@ -414,13 +459,6 @@ def _links(judged: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.col("leader").alias("a"), F.col("node").alias("b"))
 
 
-def _not_yet(pairs: DataFrame, judged: DataFrame) -> DataFrame:
-    """Without the pairs judged before, in either order."""
-    done = judged.select("leader", "node")
-    other = done.select(F.col("node").alias("leader"), F.col("leader").alias("node"))
-    return pairs.join(done.unionByName(other), ["leader", "node"], "left_anti")
-
-
 def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows, with labels, of buckets that have nodes of several components."""
     known = entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

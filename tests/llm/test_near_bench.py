@@ -101,22 +101,59 @@ def test_signatures_estimate_it():
     assert agreed / trials == pytest.approx(plain_similarity(a, b), abs=0.03)
 
 
-def test_blocks_find_the_same_pairs(spark):
-    rng = np.random.default_rng(2)
+PLACE = pa.schema([
+    ("node", pa.binary()), ("label", pa.binary()), ("side", pa.int32()), ("pivot", pa.float64()), ("bucket", pa.int64()),
+    ("bands", pa.list_(pa.int64())), ("elements", pa.binary()), ("weights", pa.binary()),
+])
+
+
+def place_rows(n, seed, weighted):
+    """Rows near one of three sets of elements, some of them in one component already."""
+    rng = np.random.default_rng(seed)
+    bags = []
+    for k in range(n):
+        values = np.arange(60) + 1000 * (k % 3)
+        values[rng.integers(0, 60, rng.integers(0, 9))] += 100 + 10 * k
+        values = np.unique(values).astype(np.uint64)
+        weights = 1 + (values % np.uint64(4) == 0) * weighted
+        weights[rng.integers(0, len(weights), 2)] += weighted
+        bags.append((values, weights.astype(np.int32)))
     rows = [
-        {"node": bytes([k]), "label": bytes([k]), "side": 0, "pivot": 1.0, "bucket": 7,
-         "bands": [7] * nd.BANDS, "checked": (rng.integers(0, 2, nd.CHECKED) * (k % 3)).astype(np.uint8).tobytes()}
-        for k in range(12)
+        {"node": bytes([k]), "label": bytes([k if k % 5 else 0]), "side": 0, "pivot": 1.0, "bucket": 7, "bands": [7] * nd.BANDS,
+         "elements": v.tobytes(), "weights": w.tobytes()}
+        for k, (v, w) in enumerate(bags)
     ]
-    schema = pa.schema([("node", pa.binary()), ("label", pa.binary()), ("side", pa.int32()), ("pivot", pa.float64()),
-                        ("bucket", pa.int64()), ("bands", pa.list_(pa.int64())), ("checked", pa.binary())])
-    whole = set(nd._Place(pa.Table.from_pylist(rows, schema)).pairs(0.8, 150))
+    return rows, bags
+
+
+def joined(rows, pairs):
+    """The components of rows by their labels and further pairs, as a set of sets of nodes."""
+    label = {r["node"]: r["label"] for r in rows}
+    for a, b in pairs:
+        old, new = label[a], label[b]
+        label = {k: new if v == old else v for k, v in label.items()}
+    groups = {}
+    for node, name in label.items():
+        groups.setdefault(name, set()).add(node)
+    return {frozenset(g) for g in groups.values()}
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_places_and_their_blocks_join_what_all_links_join(weighted):
+    rows, bags = place_rows(40, 2, weighted)
+    all_links = [
+        (rows[i]["node"], rows[j]["node"]) for i in range(40) for j in range(i)
+        if nd.probability_jaccard(*bags[i], *bags[j]) >= 0.8
+    ]
+    want = joined(rows, all_links)
+    assert len(want) < len(joined(rows, []))
+    whole = list(nd._Place(pa.Table.from_pylist(rows, PLACE)).links(0.8))
+    assert joined(rows, whole) == want and len(whole) < len(rows) and set(map(frozenset, whole)) <= set(map(frozenset, all_links))
     halves = [[r | {"side": s} for r in rows if r["node"][0] % 2 == s] for s in (0, 1)]
-    parts = set()
+    parts = list(nd._Place(pa.Table.from_pylist(halves[0] + halves[1], PLACE)).links(0.8))
     for half in halves:
-        parts |= set(nd._Place(pa.Table.from_pylist([r | {"side": 0} for r in half], schema)).pairs(0.8, 150))
-    parts |= set(nd._Place(pa.Table.from_pylist(halves[0] + halves[1], schema)).pairs(0.8, 150))
-    assert parts == whole and whole
+        parts += nd._Place(pa.Table.from_pylist([r | {"side": 0} for r in half], PLACE)).links(0.8)
+    assert joined(rows, parts) == want
 
 
 def test_empty_table(table):
