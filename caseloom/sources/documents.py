@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +38,17 @@ def scan_text(contents: DataFrame) -> DataFrame:
     )
 
 
+#: Text that a task gathers before it hands a batch on.
+OUT_BYTES = 8 << 20
+
+
 def scan_with_extractors(contents: DataFrame, extractors: Mapping[str, Extractor]) -> DataFrame:
     """Run the extractor registered for each file's suffix.
 
-    A missing extractor or one that fails gives the row a ``load_error``.
+    A missing extractor or one that fails gives the row a ``load_error``. Spark fills an Arrow
+    batch up to ``spark.sql.execution.arrow.maxBytesPerBatch``; within it files are looked at one
+    by one where they lie, and texts are handed on every ``OUT_BYTES``. So a worker holds one
+    batch, one file's extraction and that much text, however many files its task has.
     """
     registry = dict(extractors)
 
@@ -49,31 +56,35 @@ def scan_with_extractors(contents: DataFrame, extractors: Mapping[str, Extractor
         if kind not in registry:
             return None, f"No text extractor is registered for {kind} files ({name})"
         try:
-            return registry[kind](bytes(content)), None
+            return registry[kind](content), None
         except Exception as exc:  # noqa: BLE001 - one bad file must not stop the job
             return None, f"Failed to read {name}: {exc}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                (None, said) if said else one(name, kind, content)
-                for name, kind, content, said in zip(
-                    batch["name"], batch["suffix"], batch["content"], batch["load_error"]
-                )
-            ]
-            yield pd.DataFrame(
-                {
-                    "source_file": batch["name"],
-                    "raw": [text for text, _ in found],
-                    "file_size_bytes": batch["length"],
-                    "load_error": [said for _, said in found],
-                }
-            )
+            rows, size = [], 0
+            for name, kind, length, content, said in zip(*batch.columns, strict=True):
+                text, error = None, said.as_py()
+                if error is None:
+                    text, error = one(name.as_py(), kind.as_py(), content.as_buffer().to_pybytes())
+                rows.append((name.as_py(), text, length.as_py(), error))
+                size += len(text or "")
+                if size > OUT_BYTES:
+                    yield _loaded(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _loaded(rows)
 
     columns = contents.select(
         "name", naming.suffix(F.col("name")).alias("suffix"), "length", "content", "load_error"
     )
-    return columns.mapInPandas(run, _LOADED)
+    return columns.mapInArrow(run, _LOADED)
+
+
+def _loaded(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+    columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["source_file", "raw", "file_size_bytes", "load_error"])
 
 
 def scan_folder(
@@ -109,29 +120,30 @@ def scan_folder(
 def _read_hidden(files: DataFrame) -> DataFrame:
     """Contents of the files Spark's scan leaves out."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = "name string, length long, content binary, load_error string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents, errors = [], []
-            for path, name, length in zip(batch["path"], batch["name"], batch["length"]):
+            for path, name, length in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 content, said = b"", None
                 if length > 0:
                     try:
                         content = read_bytes(path)
                     except Exception as exc:  # noqa: BLE001
                         content, said = None, f"Failed to read {name}: {exc}"
-                contents.append(content)
-                errors.append(said)
-            yield pd.DataFrame(
-                {
-                    "name": batch["name"],
-                    "length": batch["length"],
-                    "content": contents,
-                    "load_error": errors,
-                }
-            )
+                # One file at a time, so that a worker never holds two.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name], pa.string()), pa.array([length], pa.int64()), pa.array([content], pa.binary()),
+                        pa.array([said], pa.string()),
+                    ],
+                    names=["name", "length", "content", "load_error"],
+                )
 
-    schema = "name string, length long, content binary, load_error string"
-    return files.select("path", "name", "length").mapInPandas(run, schema)
+    # Dealt out by path, since the listing may have come in few pieces; a stated number, since
+    # so short rows would else be gathered into one task again.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path", "name", "length").repartition(tasks, "path").mapInArrow(run, schema)
 
 
 def load_documents(

@@ -60,10 +60,26 @@ def _rows(table: ElementTree.Element) -> list[list[str]]:
     return rows
 
 
-def docx_text(content: bytes) -> str:
-    """Body paragraphs, then every non-empty table row as ``cell | cell``."""
+#: Bytes that a document inside an archive may unpack to; parsing takes about ten times as much.
+MAX_UNPACKED = 64 << 20
+
+
+def unpacked(package: zipfile.ZipFile, name: str, limit: int) -> bytes:
+    """A member of an archive; whatever its header says, no more than ``limit`` bytes are unpacked."""
+    with package.open(name) as member:
+        content = member.read(limit + 1)
+    if len(content) > limit:
+        raise ValueError(f"{name} unpacks to more than {limit} bytes")
+    return content
+
+
+def docx_text(content: bytes, limit: int = MAX_UNPACKED) -> str:
+    """Body paragraphs, then every non-empty table row as ``cell | cell``.
+
+    An archive whose document unpacks to more than ``limit`` bytes is refused.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as package:
-        root = ElementTree.fromstring(package.read("word/document.xml"))
+        root = ElementTree.fromstring(unpacked(package, "word/document.xml", limit))
     body = root.find(f"{_W}body")
     lines = [_paragraph(p) for p in body.findall(f"{_W}p")]
     for table in body.findall(f"{_W}tbl"):
