@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -90,14 +91,46 @@ def _nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+#: Blocks of Latin, Greek, Cyrillic, Armenian, Hebrew and Arabic letters, punctuation, kana,
+#: ideographs, Hangul and emoji that are looked through for what NFKC leaves alone.
+COMMON_BLOCKS = (
+    (0x80, 0x6FF), (0x1E00, 0x1FFF), (0x2010, 0x20CF), (0x2190, 0x22FF), (0x2500, 0x27BF), (0x3001, 0x30FF),
+    (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x1F300, 0x1F6FF), (0x1F900, 0x1F9FF),
+)
+
+
+def stays(char: str) -> bool:
+    """Whether NFKC leaves a character as it is, whatever its neighbours are.
+
+    It must be normal by itself and not a mark, since marks join what comes before them or
+    change places. Nothing but a mark joins, apart from Hangul letters and some vowel signs, which
+    the common blocks do not hold.
+    """
+    return unicodedata.is_normalized("NFKC", char) and not unicodedata.category(char).startswith("M")
+
+
+@cache
+def _may_change() -> str:
+    """A pattern for a character that NFKC may change; plain ASCII is passed over first."""
+    safe = [c for lo, hi in COMMON_BLOCKS for c in range(lo, hi + 1) if stays(chr(c))]
+    ranges: list[list[int]] = []
+    for c in safe:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    shown = "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in ranges)
+    return rf"(?=[^\x00-\x7F])[^{shown}]"
+
+
 def nfkc(c: Column) -> Column:
     """Unicode compatibility normalisation, which Spark has no built-in for.
 
-    Plain-ASCII rows are handed over as null, so only text that can change makes
-    the trip to Python.
+    Only text with a character that can change makes the trip to Python; all other rows,
+    composed accents and other scripts included, are handed over as null.
     """
     to_python = F.pandas_udf(_nfkc, "string")
-    return F.coalesce(to_python(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    return F.coalesce(to_python(F.when(c.rlike(_may_change()), c)), c)
 
 
 def tidy_lines(c: Column) -> Column:

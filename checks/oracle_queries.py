@@ -332,6 +332,7 @@ FROM docs LEFT JOIN extraction USING (k)""".replace(
             f"{ruled} SELECT source_file, enquiry FROM subjects UNION ALL "
             f"SELECT {DOC_KEY}, {o.any_of('lower(text)', fv.ENQUIRY_MARKERS)} FROM documents"
         ),
+        "normalise_unicode": f"SELECT doc_id, {o.normalise('text')} AS text FROM documents",
         "normalise": from_corpus(f"SELECT source_file, {o.normalise('raw_text')} AS text FROM corpus"),
         "collapse_ws": from_corpus(f"SELECT source_file, {o.collapse('raw_text')} AS text FROM corpus"),
         "blank_to_none": f"{VALUES} SELECT source_file, line_no, {o.none_if_blank('value')} AS value FROM vals",

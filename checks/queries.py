@@ -345,6 +345,15 @@ def normalise(spark, sf_dir):
     return corpus(spark, sf_dir).select("source_file", tx.normalise(c("raw_text")).alias("text"))
 
 
+@query
+def normalise_unicode(spark, sf_dir):
+    """Texts with ligatures, full-width letters and combining marks become what they were without."""
+    odd = c("text")
+    for plain, other in (("fi", "\ufb01"), ("T", "\uff34"), ("e", "\uff45"), ("\u00e9", "e\u0301"), ("\u00f1", "n\u0303")):
+        odd = F.replace(odd, F.lit(plain), F.lit(other))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.normalise(odd).alias("text"))
+
+
 @query
 def collapse_ws(spark, sf_dir):
     return corpus(spark, sf_dir).select("source_file", tx.collapse_ws(c("raw_text")).alias("text"))

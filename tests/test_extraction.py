@@ -50,14 +50,14 @@ def test_one_large_and_a_thousand_small_files_in_one_task(spark, tmp_path):
         return str(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
 
     for k in range(1000):
-        (tmp_path / f"small{k}.bin").write_bytes(b"x" * 400_000)
+        (tmp_path / f"small{k}.bin").write_bytes(b"x" * 100_000)
     (tmp_path / "large.bin").write_bytes(b"y" * 200_000_000)
     files = spark.read.format("binaryFile").load(str(tmp_path)).selectExpr(
         "regexp_extract(path, '[^/]+$', 0) AS name", "length", "content", "CAST(NULL AS STRING) AS load_error"
     )
     found = documents.scan_with_extractors(files.coalesce(1), {".bin": peak}).select("source_file", "raw").collect()
     assert len(found) == 1001
-    # All files are 600 MB. A batch of up to 64 MB and the large file, its copy on the way in, and once more.
+    # All files are 300 MB. A batch of up to 64 MB and the large file, its copy on the way in, and once more.
     assert max(int(r.raw) for r in found) < 1000
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import unicodedata
 
 from hypothesis import given, settings
@@ -76,6 +77,28 @@ def test_text_rules_match_python(spark, values):
     assert run(spark, text.compact_lines, stripped) == ["\n".join(x) for x in lines]
 
 
+def test_characters_passed_over_never_change():
+    """Alone, in pairs, before and after marks: what the pattern passes over is normal text."""
+    safe = [chr(c) for lo, hi in text.COMMON_BLOCKS for c in range(lo, hi + 1) if text.stays(chr(c))]
+    draw = random.Random(1)
+    for size in (1, 2, 5, 40):
+        for _ in range(4000):
+            value = "".join(draw.choice(safe) if draw.random() < 0.7 else chr(draw.randrange(128)) for _ in range(size))
+            assert unicodedata.is_normalized("NFKC", value)
+    everything = "".join(safe)
+    assert unicodedata.normalize("NFKC", everything) == everything
+    assert all(c in safe for c in "éüßñçøåœæłđ–—‘’“”•→中文あアé한Ωж")
+
+
+def test_only_text_that_can_change_goes_to_python(spark):
+    values = ["plain", "Café, Straße, año – “so”", "中文 한국 Ωж 🎉", "ﬁne", "Ｔext", "e\u0301", "½", "a\xa0b", "¨", None]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    sent = df.where(F.col("t").rlike(text._may_change())).collect()
+    assert [r.t for r in sent] == ["ﬁne", "Ｔext", "e\u0301", "½", "a\xa0b", "¨"]
+    got = df.select(text.nfkc(F.col("t")).alias("t")).collect()
+    assert [r.t for r in got] == [v and unicodedata.normalize("NFKC", v) for v in values]
+
+
 def test_long_blank_runs_stay_linear(spark):
     value = "a" + " " * 200_000 + "b" + "." * 100_000
     assert run(spark, text.compact_lines, [value]) == [value]
