@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.operators.ledger import Ledger
 from caseloom.operators.validation import read_responses
 
 REPLY = T.StructType(
@@ -66,6 +67,10 @@ class Model:
     are reported as failed calls, anything else as an unexpected error. A provider
     that retries only its API errors lists them in ``retry_on``; one that retries
     everything passes ``retry_on=(Exception,)``.
+
+    With ``ledger`` answered calls are kept in the shared folder for the time of a job, so
+    that a task that Spark repeats does not make them again. The folder must then be one that
+    Arrow can reach.
     """
 
     call: Callable[[str, str, str], Reply]
@@ -76,6 +81,7 @@ class Model:
     retry_on: tuple[type[BaseException], ...] = (CallError, OSError)
     call_errors: tuple[type[BaseException], ...] = (CallError, OSError)
     sleep: Callable[[float], None] = field(default=time.sleep)
+    ledger: bool = True
 
     def __post_init__(self) -> None:
         if not 1 <= self.max_attempts <= 10:
@@ -107,14 +113,27 @@ def _call_with_retry(model: Model, request: Request, prompt: str) -> Reply:
     raise AssertionError("unreachable")
 
 
-def ask(model: Model, request: Request, prompt: str | None) -> dict | None:
+def _answer(model: Model, request: Request, prompt: str, ledger: Ledger | None) -> Reply:
+    """From the ledger, or from the model and then kept there."""
+    if ledger is None:
+        return _call_with_retry(model, request, prompt)
+    key = ledger.key(model.name, model.model, request.task, request.instructions, prompt)
+    kept = ledger.get(key)
+    if kept is not None:
+        return Reply(*kept)
+    reply = _call_with_retry(model, request, prompt)
+    ledger.put(key, list(reply))
+    return reply
+
+
+def ask(model: Model, request: Request, prompt: str | None, ledger: Ledger | None = None) -> dict | None:
     """One request as a reply value; no prompt, no call."""
     if prompt is None:
         return None
     started = time.perf_counter()
     reply, error = None, None
     try:
-        reply = _call_with_retry(model, request, prompt)
+        reply = _answer(model, request, prompt, ledger)
     except model.call_errors as exc:
         error = (
             f"{model.name} call failed for task '{request.task}' after "
@@ -141,20 +160,25 @@ def ask(model: Model, request: Request, prompt: str | None) -> dict | None:
 
 def generate_structured(
     df: DataFrame, requests: list[Request], model: Model, *, parallel: bool = False,
-    workers: int | None = None,
+    workers: int | None = None, ledger: str | None = None,
 ) -> DataFrame:
     """Add ``<task>_reply`` for every request, and ``pair_seconds``.
 
-    All requests of a row run in the same task, one after the other or, with
-    ``parallel``, at once. ``workers`` bounds how many rows are in flight at a time
-    by repartitioning; without it the cluster's own slots are the bound.
+    All requests of a row run in the same task, one after the other or, with ``parallel``, at
+    once. ``workers`` bounds how many rows are in flight at a time, without moving them: the
+    partitions are drawn together to at most so many, and where there are fewer, each looks at
+    several rows at once. For that the partitions are counted beforehand, which is cheap for a
+    scan but would run the shuffles of another plan. Without ``workers`` the cluster's own slots
+    are the bound. ``ledger`` is a folder of answers that are not asked for again.
     """
     if df.sparkSession.conf.get("spark.speculation", "false") == "true":
         warnings.warn("spark.speculation may repeat model calls; turn it off for this job")
+    at_once = 1
     if workers is not None:
         if workers < 1:
             raise ValueError("workers must be at least 1")
-        df = df.repartition(workers)
+        df = df.coalesce(workers)
+        at_once = max(1, workers // max(1, df.rdd.getNumPartitions()))
     schema = T.StructType(
         [
             *df.schema.fields,
@@ -164,24 +188,23 @@ def generate_structured(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ThreadPoolExecutor(max_workers=len(requests)) as pool:
+        kept = Ledger(ledger) if ledger else None
+
+        def row(texts: tuple[str | None, ...]) -> tuple[list[dict | None], float]:
+            started = time.perf_counter()
+            if parallel:
+                found = list(calls.map(ask, [model] * len(requests), requests, texts, [kept] * len(requests)))
+            else:
+                found = [ask(model, r, t, kept) for r, t in zip(requests, texts, strict=True)]
+            return found, round(time.perf_counter() - started, 3)
+
+        with ThreadPoolExecutor(at_once) as rows, ThreadPoolExecutor(at_once * len(requests)) as calls:
             for batch in batches:
+                prompts = zip(*(batch.column(r.prompt).to_pylist() for r in requests), strict=True)
+                done = list(rows.map(row, prompts))
                 columns = list(batch.columns)
-                prompts = [batch.column(r.prompt) for r in requests]
-                replies: list[list[dict | None]] = [[] for _ in requests]
-                pair: list[float] = []
-                for i in range(batch.num_rows):
-                    texts = [p[i].as_py() for p in prompts]
-                    started = time.perf_counter()
-                    if parallel:
-                        row = list(pool.map(ask, [model] * len(requests), requests, texts))
-                    else:
-                        row = [ask(model, r, t) for r, t in zip(requests, texts)]
-                    pair.append(round(time.perf_counter() - started, 3))
-                    for kept, reply in zip(replies, row):
-                        kept.append(reply)
-                columns += [pa.array(r, type=_REPLY_ARROW) for r in replies]
-                columns.append(pa.array(pair, type=pa.float64()))
+                columns += [pa.array([found[k] for found, _ in done], type=_REPLY_ARROW) for k in range(len(requests))]
+                columns.append(pa.array([pair for _, pair in done], type=pa.float64()))
                 names = [*batch.schema.names, *(f"{r.task}_reply" for r in requests), PAIR_SECONDS]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

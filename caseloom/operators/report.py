@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
@@ -63,29 +63,65 @@ def summary_view(cases: DataFrame) -> DataFrame:
     )
 
 
-def count_by_status(cases: DataFrame) -> DataFrame:
-    """``documents_processed succeeded partial failed`` in one pass."""
+def status_figures() -> list[Column]:
     status = F.col("status")
-    return cases.agg(
+    return [
         F.count("*").alias("documents_processed"),
         F.count_if(status == "SUCCESS").alias("succeeded"),
         F.count_if(status == "PARTIAL").alias("partial"),
         F.count_if(status == "FAILED").alias("failed"),
-    )
+    ]
 
 
-def token_usage(cases: DataFrame) -> DataFrame:
+def usage_figures() -> list[Column]:
     usage = F.col("usage")
 
     def total(part: str) -> Column:
         return F.coalesce(F.sum(usage[part]), F.lit(0))
 
-    return cases.agg(
+    return [
         total("calls").alias("calls"),
         total("prompt_tokens").alias("prompt_tokens"),
         total("completion_tokens").alias("completion_tokens"),
         (total("prompt_tokens") + total("completion_tokens")).alias("total_tokens"),
-    )
+    ]
+
+
+def count_by_status(cases: DataFrame) -> DataFrame:
+    """``documents_processed succeeded partial failed`` in one pass."""
+    return cases.agg(*status_figures())
+
+
+def token_usage(cases: DataFrame) -> DataFrame:
+    return cases.agg(*usage_figures())
+
+
+class Watched:
+    """Run figures taken while tables are written, so that none is read again for them.
+
+    ``watch`` a frame, write it, then read ``figures``: the sums over all frames watched.
+    """
+
+    def __init__(self):
+        self._seen: list[Observation] = []
+
+    def watch(self, df: DataFrame, *figures: Column) -> DataFrame:
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *figures)
+
+    def cases(self, cases: DataFrame) -> DataFrame:
+        return self.watch(cases, *status_figures(), *usage_figures())
+
+    def skipped(self, skipped: DataFrame) -> DataFrame:
+        return self.watch(skipped, F.count("*").alias("skipped"))
+
+    @property
+    def figures(self) -> dict[str, int]:
+        sums: dict[str, int] = {}
+        for one in self._seen:
+            for name, value in one.get.items():
+                sums[name] = sums.get(name, 0) + value
+        return sums
 
 
 def run_outcome(cases: DataFrame) -> DataFrame:

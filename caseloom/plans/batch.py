@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import naming
 from caseloom.operators.inference import Model
-from caseloom.operators.report import run_counts
+from caseloom.operators.report import Watched
 from caseloom.plans.workflow import RULES, RULES_MODEL, process_documents
 from caseloom.sinks import outputs
 from caseloom.sinks.commit import StagedRun
@@ -24,11 +24,12 @@ LAYOUTS = ("tables", "files")
 
 @dataclass(frozen=True)
 class BatchResult:
-    """``cases`` reads the written case table; ``manifest`` holds the run figures."""
+    """``cases`` reads the written case table; ``manifest`` and ``usage`` hold the run figures."""
 
     cases: DataFrame
     skipped: DataFrame
     manifest: dict
+    usage: dict
 
     @property
     def wall_clock_seconds(self) -> float:
@@ -79,14 +80,14 @@ def run_batch(
     files = discover(list_folder(spark, input_dir))
     started = datetime.now(timezone.utc)
     options = {"max_chars": max_chars, "task_mode": task_mode, "workers": workers}
-    run = StagedRun(spark, output_dir)
+    run, watched = StagedRun(spark, output_dir), Watched()
 
     texts = load_documents(spark, input_dir, files, extractors=extractors, limit=limit)
     table = f"{run.folder}/{CASES}"
-    process_documents(texts, provider, **options).write.parquet(table)
+    watched.cases(process_documents(texts, provider, **options)).write.parquet(table)
     cases = spark.read.parquet(table)
     missing = process_documents(_unreported(eligible_files(files, limit), cases))
-    missing.write.mode("append").parquet(table)
+    watched.cases(missing).write.mode("append").parquet(table)
     cases = spark.read.parquet(table)
 
     skipped = skipped_files(files)
@@ -101,10 +102,10 @@ def run_batch(
         outputs.write_emails(cases, run.folder)
         outputs.write_summaries(cases, run.folder)
     outputs.write_report(cases, run.folder)
-    outputs.write_skipped(skipped, run.folder)
+    outputs.write_skipped(watched.skipped(skipped), run.folder)
 
     finished = datetime.now(timezone.utc)
-    by_model = isinstance(provider, Model)
+    by_model, told = isinstance(provider, Model), watched.figures
     figures = {
         "provider": provider.name if by_model else RULES,
         "model": provider.model if by_model else RULES_MODEL,
@@ -113,8 +114,9 @@ def run_batch(
         "wall_clock_seconds": round((finished - started).total_seconds(), 3),
         "task_mode": task_mode,
         "batch_workers": workers,
-        **run_counts(cases, skipped).first().asDict(),
+        **{name: told[name] for name in ("documents_processed", "succeeded", "partial", "failed", "skipped")},
     }
     manifest = outputs.write_run_manifest(spark, figures, run.folder, output_dir)
     run.commit()
-    return BatchResult(spark.read.parquet(f"{output_dir}/{CASES}"), skipped, manifest)
+    usage = {name: told[name] for name in ("calls", "prompt_tokens", "completion_tokens", "total_tokens")}
+    return BatchResult(spark.read.parquet(f"{output_dir}/{CASES}"), skipped, manifest, usage)

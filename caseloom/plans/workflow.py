@@ -28,7 +28,7 @@ from caseloom.operators.parsing import rule_view
 from caseloom.operators.rules import with_rule_extraction
 from caseloom.plans.sealing import sealed
 from caseloom.schemas import CASES, META, USAGE
-from caseloom.storage import settle
+from caseloom.storage import new_table_path, settle
 
 RULES = "rules"
 RULES_MODEL = "offline-rule-based"
@@ -132,10 +132,14 @@ def _by_rules(df: DataFrame) -> DataFrame:
 
 def _by_model(df: DataFrame, model: Model, parallel: bool, workers: int | None) -> DataFrame:
     name, text = F.col("source_file"), F.col("text")
+    ledger = new_table_path(df.sparkSession, "ledger") if model.ledger else None
     # Task 1. Rows that could not be read have no text, so they get no prompt.
     df = df.select("*", p.prompt_extraction(name, text).alias("_prompt"))
     first = Request("extraction", p.EXTRACTION_INSTRUCTIONS, "_prompt")
-    df = generate_structured(df, [first], model, workers=workers).drop("_prompt", PAIR_SECONDS)
+    if workers is not None:
+        # Of a written table the partitions are known before any task runs.
+        df = settle(df, "asked")
+    df = generate_structured(df, [first], model, workers=workers, ledger=ledger).drop("_prompt", PAIR_SECONDS)
     df = check_replies(settle(df, "extraction"), "extraction", model.name)
 
     # Tasks 2 and 3 read the validated record, so rows without one get no prompt.
@@ -150,7 +154,7 @@ def _by_model(df: DataFrame, model: Model, parallel: bool, workers: int | None)
         Request("customer_email", p.EMAIL_INSTRUCTIONS, "_email_prompt"),
         Request("case_summary", p.SUMMARY_INSTRUCTIONS, "_summary_prompt"),
     ]
-    df = generate_structured(df, later, model, parallel=parallel, workers=workers)
+    df = generate_structured(df, later, model, parallel=parallel, workers=workers, ledger=ledger)
     df = settle(df.drop("_email_prompt", "_summary_prompt"), "artefacts")
     for task in ("customer_email", "case_summary"):
         df = check_replies(df, task, model.name)
