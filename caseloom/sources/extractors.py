@@ -24,6 +24,18 @@ def read_bytes(path: str) -> bytes:
         return stream.read()
 
 
+def file_length(path: str) -> int | None:
+    """Length of the file at a Hadoop-style path; None for a folder or nothing."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        system, inner = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    else:
+        system, inner = fs.FileSystem.from_uri(arrow_uri(path))
+    found = system.get_file_info(inner)
+    return found.size if found.type == fs.FileType.File else None
+
+
 def _paragraph(node: ElementTree.Element) -> str:
     marks = {f"{_W}tab": "\t", f"{_W}cr": "\n", f"{_W}noBreakHyphen": "-"}
     parts = []

@@ -1,24 +1,28 @@
 """What lies in an input folder: one row per file, contents unread.
 
-Spark's own file listing leaves out empty files and names starting with ``_``, and
-both have to show up in the report. The listing therefore comes from the Hadoop
-file system behind the path, one directory level deep.
+Ordinary files come from Spark's own file listing, which gives their lengths without reading
+them. That listing leaves out empty files and names starting with ``_``, and both have to show
+up in the report. The paths in the folder, one level deep, are therefore also taken from the
+Hadoop file system behind it, in bulk and not one by one; what Spark did not list is looked
+at in tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions import naming
 from caseloom.schemas import MANIFEST
-from caseloom.storage import new_table_path
+from caseloom.sources.extractors import file_length
+from caseloom.storage import new_table_path, settle
 
-#: Most entries held on the driver at a time while a folder is listed.
-LISTING_CHUNK = 20_000
+#: Paths that the driver takes over at once, and how many such pieces it holds.
+LISTING_CHUNK, PIECES = 20_000, 10
 
 
 class ReadError(Exception):
@@ -40,33 +44,64 @@ def check_input_path(spark: SparkSession, input_dir: str):
     return fs, path
 
 
-def _files(fs, path) -> Iterator[tuple[str, str, int]]:
-    entries = fs.listStatusIterator(path)
-    while entries.hasNext():
-        entry = entries.next()
-        if entry.isFile():
-            yield entry.getPath().toString(), entry.getPath().getName(), entry.getLen()
+def _paths(spark: SparkSession, fs, path, chunk: int) -> DataFrame:
+    """``path`` of all entries of a folder, directories too.
+
+    The listing lies in the driver's JVM, as for every folder Spark reads. Its paths come over
+    as long strings, parted by a character that no path holds, and longer listings go to a table
+    in the shared folder piece by piece.
+    """
+    jvm, schema = spark._jvm, "piece string"
+    listed = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(path))
+    # As an array of the kind that ``join`` asks for.
+    found = spark.sparkContext._gateway.new_array(jvm.Object, len(listed))
+    jvm.java.lang.System.arraycopy(listed, 0, found, 0, len(listed))
+    join = jvm.org.apache.commons.lang3.StringUtils.join
+    table, held = None, []
+    for at in range(0, len(found), chunk):
+        held.append((join(found, "\0", at, min(at + chunk, len(found))),))
+        if len(held) == PIECES:
+            table = table or new_table_path(spark, "listing")
+            spark.createDataFrame(held, schema).write.mode("append").parquet(table)
+            held = []
+    pieces = spark.createDataFrame(held, schema)
+    if table is not None:
+        pieces = pieces.unionByName(spark.read.schema(schema).parquet(table))
+    return pieces.select(F.explode(F.split("piece", "\\x00")).alias("path"))
+
+
+def _looked_at(paths: DataFrame) -> DataFrame:
+    """``path, length`` of the files among ``paths``; entries that are gone or are folders are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(path, file_length(path)) for path in batch.column(0).to_pylist()]
+            found = [(path, length) for path, length in found if length is not None]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())],
+                names=["path", "length"],
+            )
+
+    tasks = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.repartition(tasks, "path").mapInArrow(run, "path string, length long")
 
 
 def list_folder(spark: SparkSession, input_dir: str, chunk: int = LISTING_CHUNK) -> DataFrame:
-    """``path, name, length`` of every file directly inside ``input_dir``.
+    """``path, name, length`` of every file directly inside ``input_dir``, as it was when this was called.
 
-    A long listing goes to a table in the shared folder piece by piece, so the driver
-    never holds more than one piece.
+    The listing is written to the shared folder, since all that follows must see the same one.
     """
     fs, path = check_input_path(spark, input_dir)
-    table, held = None, []
-    for row in _files(fs, path):
-        held.append(row)
-        if len(held) == chunk:
-            table = table or new_table_path(spark, "manifest")
-            spark.createDataFrame(held, MANIFEST).coalesce(1).write.mode("append").parquet(table)
-            held = []
-    if table is None:
-        return spark.createDataFrame(held, MANIFEST).coalesce(1)
-    if held:
-        spark.createDataFrame(held, MANIFEST).coalesce(1).write.mode("append").parquet(table)
-    return spark.read.schema(MANIFEST).parquet(table)
+    shown = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(input_dir)
+    shown = shown.select("path", "length")
+    name = F.substring_index("path", "/", -1)
+    root = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().rstrip("/")
+    # Of a folder that looks like a partition, Spark lists the files, too.
+    top = F.col("path") == F.concat(F.lit(f"{root}/"), name)
+    hidden = _looked_at(_paths(spark, fs, path, chunk).join(shown, "path", "left_anti"))
+    files = shown.where(top).unionByName(hidden)
+    files = files.select("path", name.alias("name"), "length")
+    return settle(files.to(MANIFEST), "manifest")
 
 
 def discover(files: DataFrame) -> DataFrame:
