@@ -69,8 +69,9 @@ class Model:
     everything passes ``retry_on=(Exception,)``.
 
     With ``ledger`` answered calls are kept in the shared folder for the time of a job, so
-    that a task that Spark repeats does not make them again. The folder must then be one that
-    Arrow can reach.
+    that a task that Spark repeats does not make them again. A folder named there is kept: a
+    later run with the same one asks only for what failed, was refused or is new, which completes
+    a partial run. It must be a folder that Arrow can reach.
     """
 
     call: Callable[[str, str, str], Reply]
@@ -81,7 +82,7 @@ class Model:
     retry_on: tuple[type[BaseException], ...] = (CallError, OSError)
     call_errors: tuple[type[BaseException], ...] = (CallError, OSError)
     sleep: Callable[[float], None] = field(default=time.sleep)
-    ledger: bool = True
+    ledger: bool | str = True
 
     def __post_init__(self) -> None:
         if not 1 <= self.max_attempts <= 10:
@@ -122,7 +123,8 @@ def _answer(model: Model, request: Request, prompt: str, ledger: Ledger | None)
     if kept is not None:
         return Reply(*kept)
     reply = _call_with_retry(model, request, prompt)
-    ledger.put(key, list(reply))
+    if reply.answer is not None and not reply.refusal:
+        ledger.put(key, list(reply))
     return reply
 
 

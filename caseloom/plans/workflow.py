@@ -132,7 +132,7 @@ def _by_rules(df: DataFrame) -> DataFrame:
 
 def _by_model(df: DataFrame, model: Model, parallel: bool, workers: int | None) -> DataFrame:
     name, text = F.col("source_file"), F.col("text")
-    ledger = new_table_path(df.sparkSession, "ledger") if model.ledger else None
+    ledger = new_table_path(df.sparkSession, "ledger") if model.ledger is True else model.ledger or None
     # Task 1. Rows that could not be read have no text, so they get no prompt.
     df = df.select("*", p.prompt_extraction(name, text).alias("_prompt"))
     first = Request("extraction", p.EXTRACTION_INSTRUCTIONS, "_prompt")

@@ -13,6 +13,7 @@ from caseloom.operators.ledger import Ledger
 from caseloom.plans.batch import run_batch
 from caseloom.plans.workflow import load_texts, process_documents
 from checks.fake_model import MODEL
+from checks.fake_model import call as fake_call
 
 REQUEST = Request("extraction", "instructions", "prompt")
 
@@ -84,6 +85,30 @@ def test_no_more_rows_in_flight_than_workers_and_no_exchange(spark, tmp_path, pi
     assert max(in_flight) > 1
 
 
+def test_a_partial_run_is_completed_without_repeating_good_calls(spark, tmp_path, form):
+    inside, log = tmp_path / "in", str(tmp_path / "calls")
+    inside.mkdir()
+    for k in range(4):
+        (inside / f"c{k}.txt").write_text(form.replace("Lena", f"Person{k}"))
+
+    def answering(down):
+        def model(instructions, prompt, task):
+            with open(log, "a") as handle:
+                handle.write(task + "\n")
+            if down and task == "customer_email":
+                raise CallError("down")
+            return fake_call(instructions, "x" * (3 * 4 * 5 * 7 * 11 * 13 * 37), task)
+
+        return Model(model, max_attempts=1, ledger=str(tmp_path / "answers"))
+
+    first = run_batch(spark, str(inside), str(tmp_path / "out"), provider=answering(down=True))
+    assert first.manifest["partial"] == 4 and first.outcome == "PARTIAL"
+    before = len(open(log).read().split())
+    second = run_batch(spark, str(inside), str(tmp_path / "out"), provider=answering(down=False))
+    assert second.manifest["succeeded"] == 4 and second.outcome == "OK"
+    assert open(log).read().split()[before:] == ["customer_email"] * 4
+
+
 def test_workers_do_not_change_the_result(spark, form):
     df = spark.createDataFrame([(f"c{k}.txt", form + "x" * k) for k in range(20)], "source_file string, text string")
     plain, bounded = (
