@@ -333,7 +333,8 @@ def _unsettled_links(
     carried = texts.join(entries.select("node").distinct(), "node").mapInArrow(
         _carry, "node binary, elements binary, weights binary"
     )
-    rows = entries.join(nodes.select("node", "bands", "width"), "node")
+    # Written, since it is read twice: a smaller plan, and the joins are made once.
+    rows = settle(entries.join(nodes.select("node", "bands", "width"), "node"), "placed")
     blocks = F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("width") / BLOCK_ELEMENTS))
     sizes = rows.groupBy("bucket").agg(blocks.cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

@@ -21,7 +21,6 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -261,6 +260,8 @@ def word_starts(data: np.ndarray) -> np.ndarray:
 
 def covering(start_a: np.ndarray, doc_a: np.ndarray, start_b: np.ndarray, doc_b: np.ndarray) -> np.ndarray:
     """For each start of ``a`` the token of ``b`` that covers it, in the same document."""
+    import pandas as pd  # in tasks alone; the driver of a pipeline has no use for it
+
     left = pd.DataFrame({"at": start_a, "doc": doc_a}, copy=False)
     right = pd.DataFrame({"at": start_b, "doc": doc_b, "token": np.arange(len(start_b))}, copy=False)
     return pd.merge_asof(left, right, on="at", by="doc")["token"].to_numpy(np.int64)
