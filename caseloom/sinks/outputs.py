@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -177,7 +178,7 @@ def _writer(folder: str):
         os.makedirs(local, exist_ok=True)
 
         def put(name: str, content: bytes) -> None:
-            draft = os.path.join(local, f".{name}.{os.getpid()}")
+            draft = os.path.join(local, f".{uuid.uuid4().hex}")
             with open(draft, "wb") as handle:
                 handle.write(content)
             os.replace(draft, os.path.join(local, name))
