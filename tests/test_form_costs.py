@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as tx
+from caseloom.operators import rules
 from caseloom.operators.parsing import event_chunks, field_value, section_text
 from checks.corpus import corpus
 
@@ -76,3 +77,32 @@ def test_no_break_spaces_stay_out_of_python(spark):
     plan = done._jdf.queryExecution().optimizedPlan().toString()
     assert "replace(t" in plan.split("_nfkc(", 1)[1].split("\n", 1)[0]
     assert [r.t for r in done.collect()] == ["a b\n\nc", "a ́\nb", "a"]
+
+
+def test_category_scores_are_worked_out_once(spark):
+    texts = [("billed twice",), ("the courier lost it",), ("nothing of note",), (None,)]
+    df = spark.createDataFrame(texts, "subject string")
+    found = df.select(rules.top_category(rules.category_scores("subject")).alias("c"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("billed twice") == 1
+    assert [r.c for r in found.collect()] == ["Billing", "Delivery", "Other", "Other"]
+
+
+def test_plain_values_and_lines_take_the_short_way_with_the_same_result(spark):
+    values = [
+        " Ann Lee", "x", "", " ", None, "(none)", "None.", "-", "--", "n/a", "No. 5", "**bold**", "_x_", "a*", "* a",
+        " a ", "\ta", "a　", "été", "1)", "a\nb", "  a", "ends \t", "~", "!", "\x7f",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    for row in df.select(tx.clean_value(F.col("v")).alias("a"), tx.clean_expression(F.col("v")).alias("b")).collect():
+        assert row.a == row.b
+
+    lines = [
+        "a\n\n\nb", "a \nb", "a  \n  b", "a \n \n b", "a   \n\n \n  c d  e", "\n a \n", "a\t\nb", "a\r\nb", "a \nb",
+        "", " ", None, "a\x1cb", "é \né", " a", "a ",
+    ]
+    df = spark.createDataFrame([(v,) for v in lines], "v string")
+    made = df.select("v", tx.compact_lines(F.col("v")).alias("a"), F.array_join(tx.split_lines(F.col("v")), "\n").alias("b"))
+    assert all(row.a == row.b for row in made.collect())
+    ends = spark.createDataFrame([("a \nb",), (" a",), ("aé",), ("",)], "v string")
+    assert [r[0] for r in ends.select(tx.plain_ends(F.col("v"))).collect()] == [True, False, False, False]
