@@ -7,6 +7,8 @@ keeps one copy of the parsed form and every later rule reads it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ from caseloom.plans.sealing import sealed
 
 CHUNKS = "_chunks"
 FORM_FIELDS = ("name", "email", "phone", "product")
+#: What goes around the working columns of a layer.
+Layer = Callable[[DataFrame], DataFrame]
+
+
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
 
 
 def subject_text(description: Column, issue_details: Column, lower_document: Column) -> Column:
@@ -175,13 +183,13 @@ def build_notes(fields: dict[str, Column], resolution: Column) -> Column:
     )
 
 
-def with_parsed_form(df: DataFrame, document: str) -> DataFrame:
+def with_parsed_form(df: DataFrame, document: str, layer: Layer = _as_it_is) -> DataFrame:
     """Add ``f_*`` (fields), ``s_*`` (sections), ``lower_document`` and ``subject``.
 
-    Missing and blank values are both ''.
+    Missing and blank values are both ''. ``layer`` is put around the working columns in between.
     """
     keep = df.columns
-    df = df.select("*", event_chunks(F.col(document)).alias(CHUNKS))
+    df = layer(df.select("*", event_chunks(F.col(document)).alias(CHUNKS)))
     chunks = F.col(CHUNKS)
     empty = F.lit("")
     df = df.select(
@@ -190,7 +198,7 @@ def with_parsed_form(df: DataFrame, document: str) -> DataFrame:
         *(section_text(chunks, n).alias(f"s_{n}") for n in fv.SECTION_LABELS),
     )
     raw = [*(f"f_{n}" for n in FORM_FIELDS), *(f"s_{n}" for n in fv.SECTION_LABELS)]
-    df = df.select(
+    df = layer(df.select(*keep, *raw)).select(
         *keep,
         *(clean_value(F.col(name)).alias(name) for name in raw),
         F.lower(document).alias("lower_document"),
@@ -207,15 +215,17 @@ def with_parsed_form(df: DataFrame, document: str) -> DataFrame:
     )
 
 
-def with_rule_outcome(df: DataFrame) -> DataFrame:
+def with_rule_outcome(df: DataFrame, layer: Layer = _as_it_is) -> DataFrame:
     """Add ``enquiry category escalated case_status sentiment priority supporting``."""
     c = F.col
-    df = df.select(
-        "*",
-        is_enquiry("lower_document").alias("enquiry"),
-        category_scores("subject").alias("scores"),
-        decide_escalation("l_escalation", "l_description").alias("escalated"),
-        supporting_document("l_supporting", "l_description").alias("supporting"),
+    df = layer(df.select("*", category_scores("subject").alias("scores")))
+    df = layer(
+        df.select(
+            "*",
+            is_enquiry("lower_document").alias("enquiry"),
+            decide_escalation("l_escalation", "l_description").alias("escalated"),
+            supporting_document("l_supporting", "l_description").alias("supporting"),
+        )
     )
     df = df.select(
         "*",
@@ -231,8 +241,15 @@ def with_rule_outcome(df: DataFrame) -> DataFrame:
 def with_rule_extraction(df: DataFrame, document: str, into: str = "extraction") -> DataFrame:
     """Add the validated extraction struct, computed by the rules."""
     keep = df.columns
-    df = with_rule_outcome(with_parsed_form(df, document))
     c = F.col
+
+    def layer(df: DataFrame) -> DataFrame:
+        # All of a record is needed, so closing a layer leaves nothing to prune. Spark makes one method
+        # of the projections between two generators, and the JVM only compiles those below 8,000 bytes.
+        return sealed(df, *(name for name in df.columns if name not in keep))
+
+    df = layer(with_parsed_form(df, document, layer))
+    df = layer(with_rule_outcome(df, layer))
     fields = {n: c(f"f_{n}") for n in FORM_FIELDS}
     # Searches of long text get a layer of their own, so that they run once each.
     df = df.select(

@@ -106,3 +106,22 @@ def test_plain_values_and_lines_take_the_short_way_with_the_same_result(spark):
     assert all(row.a == row.b for row in made.collect())
     ends = spark.createDataFrame([("a \nb",), (" a",), ("aé",), ("",)], "v string")
     assert [r[0] for r in ends.select(tx.plain_ends(F.col("v"))).collect()] == [True, False, False, False]
+
+
+def test_no_layer_of_a_record_is_one_large_method(spark):
+    """The JVM compiles no method above 8,000 bytes of code."""
+    text = "Customer Name: Ann\nDescription\nThe parcel was billed twice and I am furious.\nResolution\nA refund was approved."
+    rows = [("a", text), ("b", ""), ("c", None), ("a", text)]
+    df = spark.createDataFrame(rows, "source_file string, d string")
+    done = rules.with_rule_extraction(df, "d")
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = getattr(debug, "MODULE$").codegenStringSeq(done._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [found.apply(k)._3().maxMethodCodeSize() for k in range(found.size())]
+    assert sizes and max(sizes) < 8000
+    got = sorted((r.source_file, r.extraction.customer_name, r.extraction.complaint_category) for r in done.collect() if r.d)
+    assert got == [("a", "Ann", "Billing")] * 2
+    assert done.count() == 4
