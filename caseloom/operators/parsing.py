@@ -29,7 +29,18 @@ from caseloom.functions.text import BLANK, clean_expression, clean_value, compac
 
 
 def _either(labels: list[str]) -> str:
-    return "|".join(re.escape(label).replace("\\ ", " ").replace("\\-", "-") for label in labels)
+    """Any of the labels as a pattern, shared beginnings once, which a line is quickly turned down by."""
+    tails: dict[str, list[str]] = {}
+    for label in labels:
+        tails.setdefault(label[:1], []).append(label[1:])
+    ends = tails.pop("", None)
+    if not tails:
+        return ""
+    made = "|".join(re.escape(first) + _either(rest) for first, rest in tails.items())
+    if ends:
+        return f"(?:{made})?"
+    # The look-ahead asks for all first letters at once.
+    return made if len(tails) == 1 else f"(?=[{''.join(map(re.escape, tails))}])(?:{made})"
 
 
 _SECTION_ANY = _either([x for names in fv.SECTION_LABELS.values() for x in names])
@@ -57,6 +68,12 @@ def canonical_label(label: Column) -> Column:
     return F.element_at(F.create_map(*pairs), strip(key))
 
 
+def marked_events(document: Column) -> Column:
+    """The compacted text with every event line rewritten behind a blank line."""
+    lines = F.concat(F.lit("\n"), compact_lines(document))
+    return F.regexp_replace(lines, EVENT_LINE, "\n\n$1$2\n $3")
+
+
 def event_chunks(document: Column) -> Column:
     """The events of a document in order: ``array<struct<label, value, rest>>``.
 
@@ -64,9 +81,12 @@ def event_chunks(document: Column) -> Column:
     the lines that follow, null when there are none. The unlabelled preamble comes first
     as an element without a value.
     """
-    lines = F.concat(F.lit("\n"), compact_lines(document))
-    chunks = F.split(F.regexp_replace(lines, EVENT_LINE, "\n\n$1$2\n $3"), "\n\n")
-    parts = F.transform(chunks, lambda chunk: F.split(chunk, "\n", 3))
+    return marked_chunks(marked_events(document))
+
+
+def marked_chunks(marked: Column) -> Column:
+    """``event_chunks`` of a text from ``marked_events``."""
+    parts = F.transform(F.split(marked, "\n\n"), lambda chunk: F.split(chunk, "\n", 3))
     return F.transform(
         parts,
         lambda p: F.struct(
@@ -122,8 +142,12 @@ def section_text(chunks: Column, name: str) -> Column:
     # A heading that comes once is found by its place; no function runs over the events.
     labels = chunks["label"]
     others = reduce(F.array_remove, spellings, labels)
-    times = F.size(labels) - F.size(others)
-    spots = (F.nullif(F.array_position(labels, x), F.lit(0)) for x in spellings)
+    found = [F.array_position(labels, x) for x in spellings]
+    # Where no label repeats, which is asked once for all sections, each spelling found is one heading.
+    single = F.size(F.array_distinct(labels)) == F.size(labels)
+    spellings_found = reduce(Column.__add__, (F.sign(at).cast("int") for at in found))
+    times = F.when(single, spellings_found).otherwise(F.size(labels) - F.size(others))
+    spots = (F.nullif(at, F.lit(0)) for at in found)
     place = (F.least(*spots) - 1).cast("int")
     once = body(F.get(chunks["value"], place), F.get(chunks["rest"], place))
     every = F.array_join(F.transform(own, lambda e: body(e["value"], e["rest"])), " ")

@@ -24,10 +24,10 @@ from caseloom.functions.text import (
     sql_text,
     strip,
 )
-from caseloom.operators.parsing import event_chunks, field_value, section_text
+from caseloom.operators.parsing import field_value, marked_chunks, marked_events, section_text
 from caseloom.plans.sealing import sealed
 
-CHUNKS = "_chunks"
+MARKED, CHUNKS = "_marked", "_chunks"
 FORM_FIELDS = ("name", "email", "phone", "product")
 #: What goes around the working columns of a layer.
 Layer = Callable[[DataFrame], DataFrame]
@@ -189,7 +189,9 @@ def with_parsed_form(df: DataFrame, document: str, layer: Layer = _as_it_is) ->
     Missing and blank values are both ''. ``layer`` is put around the working columns in between.
     """
     keep = df.columns
-    df = layer(df.select("*", event_chunks(F.col(document)).alias(CHUNKS)))
+    # Functions over arrays are worked out by an interpreter, so the text they take is made before them.
+    df = sealed(df.select("*", marked_events(F.col(document)).alias(MARKED)), MARKED)
+    df = layer(df.select(*keep, marked_chunks(F.col(MARKED)).alias(CHUNKS)))
     chunks = F.col(CHUNKS)
     empty = F.lit("")
     df = df.select(

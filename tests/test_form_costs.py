@@ -125,3 +125,20 @@ def test_no_layer_of_a_record_is_one_large_method(spark):
     got = sorted((r.source_file, r.extraction.customer_name, r.extraction.complaint_category) for r in done.collect() if r.d)
     assert got == [("a", "Ann", "Billing")] * 2
     assert done.count() == 4
+
+
+def test_no_layer_of_a_composed_form_is_one_large_method(spark, tables):
+    forms = corpus(spark, tables).select("k", "source_file", "text")
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = getattr(debug, "MODULE$").codegenStringSeq(forms._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(found.apply(k)._3().maxMethodCodeSize() for k in range(found.size())) < 8000
+
+
+def test_sections_under_two_spellings_are_joined(spark):
+    rows = [([("details", " ", "one"), ("issue details", " ", "two")],), ([("details", " ", "a"), ("details", " ", "b")],)]
+    df = spark.createDataFrame(rows, "c array<struct<label: string, value: string, rest: string>>")
+    assert [r[0] for r in df.select(section_text(F.col("c"), "issue_details")).collect()] == ["one two", "a b"]
