@@ -11,6 +11,7 @@ from caseloom.functions import text as tx
 from caseloom.operators import rules
 from caseloom.operators.parsing import event_chunks, field_value, section_text
 from checks.corpus import corpus
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -142,3 +143,13 @@ def test_sections_under_two_spellings_are_joined(spark):
     rows = [([("details", " ", "one"), ("issue details", " ", "two")],), ([("details", " ", "a"), ("details", " ", "b")],)]
     df = spark.createDataFrame(rows, "c array<struct<label: string, value: string, rest: string>>")
     assert [r[0] for r in df.select(section_text(F.col("c"), "issue_details")).collect()] == ["one two", "a b"]
+
+
+def test_drafts_are_made_once_for_both_tasks(spark, tables):
+    found = QUERIES["task_results_to_record"](spark, tables)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("customer enquiry") == 1  # the records of the cases; those of the drafts are read
+    rows = found.collect()
+    # Of keys 4 and 7 there are two forms, two emails and two summaries each.
+    assert len(rows) == 199 + 8 + 8
+    assert all((r.subject is None) == (int(r.source_file[5:].split(".")[0]) % 3 == 0) for r in rows if r.source_file)
