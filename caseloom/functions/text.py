@@ -7,11 +7,11 @@ out because Spark's ``trim`` and Java's ``\\s`` only know ASCII blanks.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache, reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
@@ -61,9 +61,12 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
-def _other_blanks(c: Column) -> Column:
-    """Whether ASCII text has a blank besides spaces and newlines."""
-    return reduce(Column.__or__, (c.contains(x) for x in SPACE_CHARS if x.isascii() and x not in " \n"))
+def _any_of(c: Column, words: Iterable[str]) -> Column:
+    return reduce(Column.__or__, (c.contains(word) for word in words))
+
+
+#: ASCII blanks besides spaces and newlines. Looking for one by itself is far quicker than a class.
+_OTHER_BLANKS = [x for x in SPACE_CHARS if x.isascii() and x not in " \n"]
 
 
 def plain_lines(c: Column) -> Column:
@@ -78,6 +81,17 @@ def collapse_ws(c: Column) -> Column:
     return F.btrim(F.regexp_replace(c, rf"{_SPACE}{{2,}}|{odd}", " "))
 
 
+def collapse_column(c: Column) -> Column:
+    """``collapse_ws`` of a column: printable ASCII without two spaces in a row only has its ends trimmed."""
+    odd = _any_of(c, ("  ", "\n", *_OTHER_BLANKS)) | ~is_ascii(c)
+    return F.when(odd, collapse_ws(c)).otherwise(F.btrim(c))
+
+
+def strip_column(c: Column) -> Column:
+    """``strip`` of a column; a text with visible ends, which ``strip`` would read whole, stays as it is."""
+    return F.when(plain_ends(c), c).otherwise(strip(c))
+
+
 def placeholder_to_none(collapsed: Column) -> Column:
     """Text whose whitespace is collapsed already; placeholder text becomes null."""
     return F.when(~F.lower(collapsed).isin(*fv.NULL_PLACEHOLDERS), collapsed)
@@ -100,6 +114,14 @@ def clean_value(c: Column) -> Column:
     return F.when(c.rlike(_PLAIN_VALUE), F.trim(c)).otherwise(clean_expression(c))
 
 
+def clean_trimmed(c: Column) -> Column:
+    """``clean_value`` of a column without spaces at its ends, told plain by its two ends alone."""
+    first, last = F.substring(c, 1, 1), F.substring(c.cast("binary"), -1, 1)
+    marks = [F.lit(bytearray(mark)) for mark in (b"*", b"_")]
+    plain = plain_ends(c) & ~first.isin(*"(*_nN-") & ~last.isin(*marks)
+    return F.when((c == "") | plain, c).otherwise(clean_expression(c))
+
+
 def clean_expression(c: Column) -> Column:
     """The same without a look for plain values first."""
     bare = strip(F.btrim(strip(c), F.lit("*_")))
@@ -115,22 +137,30 @@ def split_lines(c: Column) -> Column:
 def compact_lines(c: Column) -> Column:
     """The text of ``split_lines`` joined by newlines, in one regex pass.
 
-    The result never holds an empty line, which is what lets the form parser use
-    a blank line as its own separator.
+    The result never holds an empty line or a line break but ``\n``, which is what lets the form
+    parser mark its events by one.
     """
     text = F.regexp_replace(c, rf"{_BREAK}{_SPACE}*+", "\n")
     text = F.regexp_replace(text, _blanks_before(r"\n", BLANK), "\n")
-    # Most texts are ASCII with spaces and newlines alone: simple passes do.
-    bare = F.when(c.contains(" \n"), F.replace(c, F.lit(" \n"), F.lit("\n"))).otherwise(c)
-    # Up to four newlines in a row become one by two replacements, far cheaper than a pattern.
-    few = F.replace(F.replace(bare, F.lit("\n\n"), F.lit("\n")), F.lit("\n\n"), F.lit("\n"))
-    many = bare.contains("\n ") | bare.contains("\n\n\n\n\n")
-    plain = F.when(many, F.regexp_replace(bare, r"\n[ \n]*+", "\n")).otherwise(few)
-    made = F.when(is_ascii(c) & ~_other_blanks(c) & ~c.contains("  \n"), plain).otherwise(text)
+    # ASCII without odd blanks, and none around its newlines, is the common case: it is only searched.
+    plain = is_ascii(c) & ~_any_of(c, _OTHER_BLANKS)
+    few = F.when(c.contains("\n\n"), F.replace(c, F.lit("\n\n"), F.lit("\n"))).otherwise(c)
+    many = F.regexp_replace(F.replace(c, F.lit(" \n"), F.lit("\n")), r"\n[ \n]*+", "\n")
+    made = (
+        F.when(plain & ~_any_of(c, (" \n", "\n ", "\n\n\n")), few)
+        .when(plain & ~c.contains("  \n"), many)
+        .otherwise(text)
+    )
     # Ends that are no blanks stay as they are.
     return F.when(plain_ends(c), made).otherwise(strip(made))
 
 
+def drop_line_ends(c: Column) -> Column:
+    """Single spaces before newlines dropped, which changes nothing for ``compact_lines``."""
+    lone = c.contains(" \n") & ~c.contains("  \n")
+    return F.when(lone, F.replace(c, F.lit(" \n"), F.lit("\n"))).otherwise(c)
+
+
 def _blanks_before(end: str, blank: str) -> str:
     # The look-behind lets a match start only at the first blank of a run, which
     # keeps long runs of blanks linear.
@@ -174,32 +204,65 @@ def _may_change() -> str:
     return rf"(?=[^\x00-\x7F])[^{shown}]"
 
 
-def nfkc(c: Column) -> Column:
+def nfkc(c: Column, ascii_only: Column | None = None) -> Column:
     """Unicode compatibility normalisation, which Spark has no built-in for.
 
     Only text with a character that can change makes the trip to Python; all other rows,
     composed accents and other scripts included, are handed over as null.
     """
     to_python = F.pandas_udf(_nfkc, "string")
-    return F.coalesce(to_python(F.when(~is_ascii(c) & c.rlike(_may_change()), c)), c)
+    other = ~(is_ascii(c) if ascii_only is None else ascii_only)
+    return F.coalesce(to_python(F.when(other & c.rlike(_may_change()), c)), c)
 
 
 def tidy_lines(c: Column) -> Column:
     """The part of ``normalise`` that follows the Unicode step."""
     c = F.regexp_replace(F.replace(c, F.lit("\xa0"), F.lit(" ")), "\r\n?", "\n")
-    in_line = _guarded(SPACES.replace(r"\n", ""))
     # Blanks at the end of a plain text go with the last step.
-    bare = F.regexp_replace(c, _blanks_before(r"(?=\n|\z)", in_line), "")
-    c = F.when(plain_lines(c), c).otherwise(bare)
+    c = F.when(plain_lines(c), c).otherwise(_bare_ends(c))
     return strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
 
 
+def _bare_ends(c: Column) -> Column:
+    return F.regexp_replace(c, _blanks_before(r"(?=\n|\z)", _guarded(SPACES.replace(r"\n", ""))), "")
+
+
 def normalise(c: Column) -> Column:
     """One flavour of text: NFKC, ``\\n`` ends, no trailing blanks, no blank runs."""
     # NFKC makes a space of every no-break space; doing that first keeps such text out of Python.
     return tidy_lines(nfkc(F.replace(c, F.lit("\xa0"), F.lit(" "))))
 
 
+def normalise_column(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``normalise`` applied to the column ``name``, a step at a time.
+
+    A search that finds nothing costs far less than a replacement, so each step looks first for what
+    it changes. Only a column can be asked for that so often.
+    """
+    c, ascii_only = F.col(name), F.col("_ascii")
+
+    def replaced(old: str, new: str) -> Column:
+        return F.when(c.contains(old), F.replace(c, F.lit(old), F.lit(new))).otherwise(c)
+
+    df = df.withColumn(name, replaced("\xa0", " ")).withColumn("_ascii", is_ascii(c))
+    blank_ends = ~ascii_only | _any_of(c, (x + "\n" for x in (" ", *_OTHER_BLANKS)))
+    for step in (
+        # ASCII stays ASCII, and NFKC leaves no no-break space.
+        nfkc(c, ascii_only),
+        replaced("\r\n", "\n"),
+        replaced("\r", "\n"),
+        # A few plain blanks before newlines need no pattern.
+        replaced("\t\n", "\n"),
+        replaced(" \n", "\n"),
+        replaced(" \n", "\n"),
+        F.when(blank_ends, _bare_ends(c)).otherwise(c),
+        F.when(c.contains("\n\n\n"), F.regexp_replace(c, "\n{3,}", "\n\n")).otherwise(c),
+        strip_column(c),
+    ):
+        df = df.withColumn(name, step)
+    return df.drop("_ascii")
+
+
 def sql_text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -4,14 +4,13 @@ A document is a list of lines. A line that names a known section opens it; a
 ``label: value`` line with a known field label sets the field and closes the open
 section; any other line belongs to the open section, or to nothing.
 
-No line-by-line loop is needed for that. The compacted text has no empty lines,
-so one regex pass can rewrite every *event* line as::
+No line-by-line loop is needed for that. The compacted text has no line breaks but
+newlines, so one regex pass can rewrite every *event* line as::
 
-    <blank line>
-    label
+    <record separator>label
      value          (always starts with a space, so it is never empty)
 
-and splitting at the blank lines gives one chunk per event, each holding its
+and splitting at the record separators gives one chunk per event, each holding its
 label, its inline value and the lines that follow it. All of it stays inside the
 row: no explode, no shuffle, no state.
 """
@@ -29,18 +28,9 @@ from caseloom.functions.text import BLANK, clean_expression, clean_value, compac
 
 
 def _either(labels: list[str]) -> str:
-    """Any of the labels as a pattern, shared beginnings once, which a line is quickly turned down by."""
-    tails: dict[str, list[str]] = {}
-    for label in labels:
-        tails.setdefault(label[:1], []).append(label[1:])
-    ends = tails.pop("", None)
-    if not tails:
-        return ""
-    made = "|".join(re.escape(first) + _either(rest) for first, rest in tails.items())
-    if ends:
-        return f"(?:{made})?"
-    # The look-ahead asks for all first letters at once.
-    return made if len(tails) == 1 else f"(?=[{''.join(map(re.escape, tails))}])(?:{made})"
+    """Any of the labels as a pattern; the look-ahead asks for all first letters at once."""
+    spelled = "|".join(re.escape(label).replace("\\ ", " ").replace("\\-", "-") for label in labels)
+    return f"(?=[{''.join(sorted({label[0] for label in labels}))}])(?:{spelled})"
 
 
 _SECTION_ANY = _either([x for names in fv.SECTION_LABELS.values() for x in names])
@@ -49,6 +39,9 @@ _FIELD_ANY = _either([x for names in fv.FIELD_LABELS.values() for x in names])
 _B = f"{BLANK}*+"
 _MARKS = rf"{_B}\**+{_B}"
 
+#: A line break, so compacted text has none; Java splits at one plain character without a pattern.
+MARK = "\x1e"
+
 EVENT_LINE = (
     rf"(?i)\n(?:#{{0,6}}{_MARKS}({_SECTION_ANY}){_MARKS}:?{_B}"
     rf"|[-*]?{_MARKS}({_SECTION_ANY}|{_FIELD_ANY}){_MARKS}[:|]{_B}([^\n]*))(?=\n|\z)"
@@ -69,9 +62,9 @@ def canonical_label(label: Column) -> Column:
 
 
 def marked_events(document: Column) -> Column:
-    """The compacted text with every event line rewritten behind a blank line."""
+    """The compacted text with every event line rewritten behind a mark."""
     lines = F.concat(F.lit("\n"), compact_lines(document))
-    return F.regexp_replace(lines, EVENT_LINE, "\n\n$1$2\n $3")
+    return F.regexp_replace(lines, EVENT_LINE, MARK + "$1$2\n $3")
 
 
 def event_chunks(document: Column) -> Column:
@@ -86,7 +79,7 @@ def event_chunks(document: Column) -> Column:
 
 def marked_chunks(marked: Column) -> Column:
     """``event_chunks`` of a text from ``marked_events``."""
-    parts = F.transform(F.split(marked, "\n\n"), lambda chunk: F.split(chunk, "\n", 3))
+    parts = F.transform(F.split(marked, MARK), lambda chunk: F.split(chunk, "\n", 3))
     return F.transform(
         parts,
         lambda p: F.struct(
@@ -118,9 +111,13 @@ def field_value(chunks: Column, name: str) -> Column:
 
     Null when the document has no such label. ``clean_value`` makes it final.
     """
-    labels = chunks["label"]
+    return listed_value(chunks["label"], chunks["value"], name)
+
+
+def listed_value(labels: Column, values: Column, name: str) -> Column:
+    """``field_value`` from the labels and the values of the events."""
     spots = (F.nullif(F.array_position(labels, x), F.lit(0)) for x in fv.FIELD_LABELS[name])
-    return F.get(chunks["value"], (F.least(*spots) - 1).cast("int"))
+    return F.get(values, (F.least(*spots) - 1).cast("int"))
 
 
 def section_text(chunks: Column, name: str) -> Column:
@@ -128,6 +125,11 @@ def section_text(chunks: Column, name: str) -> Column:
 
     '' when there are none. ``clean_value`` makes it final.
     """
+    return listed_text(chunks, chunks["label"], chunks["value"], chunks["rest"], name)
+
+
+def listed_text(chunks: Column, labels: Column, values: Column, rests: Column, name: str) -> Column:
+    """``section_text`` from the events and their parts, which are named so often that they should be columns."""
     spellings = fv.SECTION_LABELS[name]
     own = F.filter(chunks, lambda e: e["label"].isin(*spellings))
 
@@ -140,7 +142,6 @@ def section_text(chunks: Column, name: str) -> Column:
         )
 
     # A heading that comes once is found by its place; no function runs over the events.
-    labels = chunks["label"]
     others = reduce(F.array_remove, spellings, labels)
     found = [F.array_position(labels, x) for x in spellings]
     # Where no label repeats, which is asked once for all sections, each spelling found is one heading.
@@ -149,7 +150,7 @@ def section_text(chunks: Column, name: str) -> Column:
     times = F.when(single, spellings_found).otherwise(F.size(labels) - F.size(others))
     spots = (F.nullif(at, F.lit(0)) for at in found)
     place = (F.least(*spots) - 1).cast("int")
-    once = body(F.get(chunks["value"], place), F.get(chunks["rest"], place))
+    once = body(F.get(values, place), F.get(rests, place))
     every = F.array_join(F.transform(own, lambda e: body(e["value"], e["rest"])), " ")
     return (
         F.when(labels.isNotNull() & (times == 0), F.lit(""))

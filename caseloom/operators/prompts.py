@@ -36,16 +36,16 @@ SUMMARY_INSTRUCTIONS = (
 )
 
 
+#: What a JSON string cannot hold as it is.
+_ESCAPED = r'[\x00-\x1f"\\]'
+
+
 def json_string(c: Column) -> Column:
     """A JSON string literal, or ``null``. Non-ASCII text stays as it is."""
-    quoted = F.concat(
-        F.lit('"'),
-        F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
-        F.lit('"'),
-    )
-    # Control characters are rare; only such values pay for a full JSON writer.
-    control = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
-    literal = F.when(c.rlike(r"[\x00-\x1f]"), control).otherwise(quoted)
+    # Escapes are rare; only values with them pay for a full JSON writer.
+    written = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    quote = F.lit('"')
+    literal = F.when(c.rlike(_ESCAPED), written).otherwise(F.concat(quote, c, quote))
     return F.coalesce(literal, F.lit("null"))
 
 
@@ -60,6 +60,26 @@ def extraction_json(x: Column) -> Column:
     return F.when(x.isNotNull(), F.concat(*parts, F.lit("\n}")))
 
 
+def extraction_json_length(x: Column) -> Column:
+    """``char_length(extraction_json(x))`` for a record, added up where no value needs an escape."""
+    fixed = len("{") + len("\n}") - len(",")
+    sizes, flags, texts = [], [], []
+    for field in EXTRACTION.fields:
+        fixed += len(f',\n  "{field.name}": ')
+        value = x[field.name]
+        if isinstance(field.dataType, T.BooleanType):
+            flags.append(F.when(~value, len("false")).otherwise(len("true")))  # as long as null
+        else:
+            sizes.append(F.coalesce(F.char_length(value) + 2, F.lit(len("null"))))
+            texts.append(value)
+    plain = sum(sizes, F.lit(0))
+    # Texts with escapes are rare; the function over them keeps the code for the others small.
+    written = F.transform(F.array(*texts), lambda text: F.char_length(json_string(text)))
+    escapes = F.concat_ws("", *texts).rlike(_ESCAPED)
+    size = F.when(escapes, F.aggregate(written, F.lit(0), lambda a, b: a + b)).otherwise(plain)
+    return size + sum(flags, F.lit(fixed))
+
+
 def prompt_extraction(source_file: Column, text: Column) -> Column:
     return fill(fv.PROMPT_EXTRACTION, source_file=source_file, text=text)
 
@@ -76,30 +96,19 @@ def prompt_summary(source_file: Column, text: Column, extracted_json: Column) ->
     )
 
 
-def _length(template: tuple[str, ...], **slot_lengths: Column) -> Column:
-    fixed = sum(len(part) for part in template if not part.startswith("{"))
-    total = F.lit(fixed)
-    for part in template:
-        if part.startswith("{"):
-            total = total + slot_lengths[part[1:-1]]
-    return total
-
-
-def estimated_usage(source_file: Column, text: Column, x: Column) -> Column:
+def estimated_usage(done: Column, chars: Column, record: Column) -> Column:
     """Calls and tokens the rule provider accounts for one document.
 
-    Prompt lengths are added up from their parts; no prompt text is built.
+    Prompt lengths are added up from their parts; no prompt text is built. ``done`` tells whether
+    there is a record, ``chars`` is the length of file name and text, ``record`` that of the
+    record's JSON (``extraction_json_length``). They are named often, so they should be columns.
     """
-    sizes = {"source_file": F.char_length(source_file), "text": F.char_length(text)}
-    done = x.isNotNull()
-    record = F.char_length(extraction_json(x))
 
-    def tokens(template: tuple[str, ...], **extra: Column) -> Column:
-        return F.floor(_length(template, **sizes, **extra) / fv.CHARS_PER_TOKEN)
+    def tokens(template: tuple[str, ...], *extra: Column) -> Column:
+        fixed = sum(len(part) for part in template if not part.startswith("{"))
+        return F.floor(sum(extra, F.lit(fixed) + chars) / fv.CHARS_PER_TOKEN)
 
-    later = tokens(fv.PROMPT_EMAIL, extracted_json=record) + tokens(
-        fv.PROMPT_SUMMARY, extracted_json=record
-    )
+    later = tokens(fv.PROMPT_EMAIL, record) + tokens(fv.PROMPT_SUMMARY, record)
     prompt = F.when(done, tokens(fv.PROMPT_EXTRACTION) + later).otherwise(F.lit(0))
     calls = F.when(done, F.lit(3)).otherwise(F.lit(0))
     return F.struct(

@@ -16,15 +16,16 @@ from caseloom import fixed_values as fv
 from caseloom.functions.contacts import scan_email, scan_phone, valid_email, valid_phone
 from caseloom.functions.text import (
     LINE_BREAK,
-    blank_to_none,
-    clean_value,
-    collapse_ws,
+    clean_trimmed,
+    collapse_column,
     contains_any,
+    drop_line_ends,
+    placeholder_to_none,
     plain_ends,
     sql_text,
     strip,
 )
-from caseloom.operators.parsing import field_value, marked_chunks, marked_events, section_text
+from caseloom.operators.parsing import listed_text, listed_value, marked_chunks, marked_events
 from caseloom.plans.sealing import sealed
 
 MARKED, CHUNKS = "_marked", "_chunks"
@@ -41,7 +42,9 @@ def subject_text(description: Column, issue_details: Column, lower_document: Col
     """What the case is about: the complaint itself, never its resolution."""
     stated = F.lower(F.concat_ws(" ", description, issue_details))
     both = plain_ends(description) & plain_ends(issue_details)
-    own = F.when(both, stated).otherwise(strip(stated))
+    # Of two values without blanks around them, as a form has them, an empty one only leaves the blank.
+    one = plain_ends(description) & (issue_details == "")
+    own = F.when(both, stated).when(one, F.lower(description)).otherwise(strip(stated))
     return F.coalesce(F.nullif(own, F.lit("")), lower_document)
 
 
@@ -69,6 +72,12 @@ def top_category(scores: Column) -> Column:
     return F.coalesce(best["category"], F.lit("Other"))
 
 
+def top_of_column(scores: Column) -> Column:
+    """``top_category`` of a column, which may be named twice: no function runs over the scores."""
+    best = F.array_max(scores)
+    return F.when(best["score"] > 0, F.coalesce(best["category"], F.lit("Other"))).otherwise("Other")
+
+
 # The decision tables take names of lower-case text columns.
 
 
@@ -190,21 +199,20 @@ def with_parsed_form(df: DataFrame, document: str, layer: Layer = _as_it_is) ->
     """
     keep = df.columns
     # Functions over arrays are worked out by an interpreter, so the text they take is made before them.
-    df = sealed(df.select("*", marked_events(F.col(document)).alias(MARKED)), MARKED)
+    df = df.select("*", drop_line_ends(F.col(document)).alias(MARKED))
+    df = sealed(df.select(*keep, marked_events(F.col(MARKED)).alias(MARKED)), MARKED)
     df = layer(df.select(*keep, marked_chunks(F.col(MARKED)).alias(CHUNKS)))
-    chunks = F.col(CHUNKS)
+    # The parts of the events are named often, so they are made columns first.
+    chunks, *parts = (F.col(x) for x in (CHUNKS, "_label", "_value", "_rest"))
+    df = layer(df.select("*", *(chunks[part].alias(f"_{part}") for part in ("label", "value", "rest"))))
     empty = F.lit("")
-    df = df.select(
-        "*",
-        *(F.coalesce(field_value(chunks, n), empty).alias(f"f_{n}") for n in FORM_FIELDS),
-        *(section_text(chunks, n).alias(f"s_{n}") for n in fv.SECTION_LABELS),
-    )
-    raw = [*(f"f_{n}" for n in FORM_FIELDS), *(f"s_{n}" for n in fv.SECTION_LABELS)]
-    df = layer(df.select(*keep, *raw)).select(
-        *keep,
-        *(clean_value(F.col(name)).alias(name) for name in raw),
-        F.lower(document).alias("lower_document"),
-    )
+    found = {f"f_{n}": F.coalesce(listed_value(*parts[:2], n), empty) for n in FORM_FIELDS}
+    found |= {f"s_{n}": listed_text(chunks, *parts, n) for n in fv.SECTION_LABELS}
+    df = layer(df.select(*keep, *(F.trim(text).alias(name) for name, text in found.items())))
+    fields = [name for name in found if name.startswith("f_")]
+    df = layer(df.withColumns({name: clean_trimmed(F.col(name)) for name in fields}))
+    df = df.withColumns({name: clean_trimmed(F.col(name)) for name in found if name not in fields})
+    df = layer(df.select(*keep, *found, F.lower(document).alias("lower_document")))
     return df.select(
         "*",
         F.lower("s_description").alias("l_description"),
@@ -231,7 +239,7 @@ def with_rule_outcome(df: DataFrame, layer: Layer = _as_it_is) -> DataFrame:
     )
     df = df.select(
         "*",
-        F.when(c("enquiry"), "General Enquiry").otherwise(top_category(c("scores"))).alias("category"),
+        F.when(c("enquiry"), "General Enquiry").otherwise(top_of_column(c("scores"))).alias("category"),
         decide_status(c("escalated"), "l_resolution", "lower_document").alias("case_status"),
         decide_sentiment("subject", c("escalated"), c("enquiry")).alias("sentiment"),
     )
@@ -260,14 +268,17 @@ def with_rule_extraction(df: DataFrame, document: str, into: str = "extraction")
         scan_phone(c("f_phone")).alias("found_phone"),
         pick_issue(c("s_description"), c("s_issue_details"), c(document)).alias("issue"),
     )
+    # Collapsed texts are named more than once, too.
+    flat = ("f_name", "found_email", "found_phone", "f_product", "issue", "s_resolution")
+    df = layer(df.select("*", *(collapse_column(c(name)).alias(f"flat_{name}") for name in flat)))
     df = df.select(
         *keep,
-        blank_to_none(c("f_name")).alias("x_name"),
-        valid_email(c("found_email")).alias("x_email"),
-        valid_phone(c("found_phone")).alias("x_phone"),
-        blank_to_none(c("f_product")).alias("x_product"),
-        collapse_ws(c("issue")).alias("x_issue"),
-        blank_to_none(c("s_resolution")).alias("x_resolution"),
+        placeholder_to_none(c("flat_f_name")).alias("x_name"),
+        valid_email(c("flat_found_email"), placeholder_to_none).alias("x_email"),
+        valid_phone(c("flat_found_phone"), placeholder_to_none).alias("x_phone"),
+        placeholder_to_none(c("flat_f_product")).alias("x_product"),
+        c("flat_issue").alias("x_issue"),
+        placeholder_to_none(c("flat_s_resolution")).alias("x_resolution"),
         build_notes(fields, c("s_resolution")).alias("x_notes"),
         "enquiry", "category", "escalated", "supporting", "case_status", "priority", "sentiment",
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed_values as fv
 from caseloom.functions import naming
-from caseloom.functions.text import normalise
+from caseloom.functions.text import normalise_column
 from caseloom.operators import prompts as p
 from caseloom.operators.drafting import build_email, build_summary
 from caseloom.operators.inference import (
@@ -37,7 +37,7 @@ TASK_MODES = ("sequential", "parallel")
 
 def load_texts(df: DataFrame) -> DataFrame:
     """Normalise ``text``; documents without any get a ``load_error`` instead."""
-    df = df.withColumn("text", normalise(F.coalesce("text", F.lit(""))))
+    df = normalise_column(df.withColumn("text", F.coalesce("text", F.lit(""))), "text")
     earlier = F.col("load_error") if "load_error" in df.columns else F.lit(None).cast("string")
     empty = F.when(
         F.col("text") == "", F.concat(F.col("source_file"), F.lit(fv.EMPTY_DOCUMENT_SUFFIX))
@@ -118,6 +118,12 @@ def _by_rules(df: DataFrame) -> DataFrame:
         "*", F.when(F.col("load_error").isNull(), F.col("_record")).alias("extraction")
     )
     x = F.col("extraction")
+    # Lengths that the usage names more than once.
+    df = df.select(
+        "*",
+        (F.char_length("source_file") + F.char_length("text")).alias("_chars"),
+        p.extraction_json_length(x).alias("_record_chars"),
+    )
     return finish(
         df.select(
             "meta", "load_error", "extraction",
@@ -125,7 +131,7 @@ def _by_rules(df: DataFrame) -> DataFrame:
             F.when(x.isNull(), "FAILED").otherwise("SUCCESS").alias("status"),
             build_email(x).alias("customer_email"),
             build_summary(x).alias("case_summary"),
-            p.estimated_usage(F.col("source_file"), F.col("text"), x).alias("usage"),
+            p.estimated_usage(x.isNotNull(), F.col("_chars"), F.col("_record_chars")).alias("usage"),
         )
     )
 

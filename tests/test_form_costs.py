@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as tx
-from caseloom.operators import rules
+from caseloom.operators import prompts, rules
 from caseloom.operators.parsing import event_chunks, field_value, section_text
+from caseloom.plans.workflow import load_texts, process_documents
 from checks.corpus import corpus
 from checks.queries import QUERIES
 
@@ -145,6 +146,55 @@ def test_sections_under_two_spellings_are_joined(spark):
     assert [r[0] for r in df.select(section_text(F.col("c"), "issue_details")).collect()] == ["one two", "a b"]
 
 
+def test_length_of_a_record_is_that_of_its_json(spark):
+    texts = [
+        "Customer Name: Ann\nDescription\nThe parcel was billed twice and I am furious.",
+        'Customer Name: A "B" \\C\nDescription\nA page said "error" in C:\\logs, twice over.\nResolution\nRefund\x01ed.',
+        "Customer Name: Zoë — 名\n\n", "", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    x = F.col("extraction")
+    found = rules.with_rule_extraction(df, "d").select(
+        prompts.extraction_json_length(x).alias("a"), F.char_length(prompts.extraction_json(x)).alias("b")
+    )
+    got = found.collect()
+    assert len(got) == 5 and all(row.a == row.b for row in got)
+
+
+def test_columns_are_cleaned_as_expressions_are(spark):
+    values = [
+        " Ann  Lee", "x", "", " ", None, "(none)", "None.", "-", "--", "n/a", "No. 5", "**bold**", "_x_", "a*", "* a",
+        "\ta", "a\u3000", "été  b", "1)", "a\nb", "  a", "ends \t", "~", "\x7f", "a\x1cb", "a\x85", "\xa0a\r\nb\xa0",
+        "a \t\n \nb\n\n\n\nc", "a\r\r\n\rb \r\n", "ﬁ\r\n\t\n\t\n x", "a  \n\n\t\n\nb", "a \t \n\x0b\nb \x1f\n", "\t\n \n",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    v = F.col("v")
+    bare = F.trim(v)
+    made = df.select("v", bare.alias("t"), tx.collapse_ws(v).alias("c"), tx.normalise(v).alias("n"), tx.strip(v).alias("s"),
+                     tx.clean_expression(bare).alias("e"), tx.compact_lines(v).alias("l"), tx.drop_line_ends(v).alias("d"))
+    made = made.select("*", tx.collapse_column(v).alias("c2"), tx.strip_column(v).alias("s2"),
+                       tx.clean_trimmed(F.col("t")).alias("e2"), tx.compact_lines(F.col("d")).alias("l2"))
+    for row in tx.normalise_column(made.withColumn("n2", v), "n2").collect():
+        assert (row.c, row.n, row.s, row.e, row.l) == (row.c2, row.n2, row.s2, row.e2, row.l2), row.v
+
+
+def test_no_layer_of_a_case_is_one_large_method(spark):
+    """The JVM compiles no method above 8,000 bytes of code."""
+    df = spark.createDataFrame([("a.txt", "Customer Name: Ann\nDescription\nLate.")], "source_file string, text string")
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    plan = process_documents(load_texts(df))._jdf.queryExecution().executedPlan()
+    found = getattr(debug, "MODULE$").codegenStringSeq(plan)
+    sizes = [found.apply(k)._3().maxMethodCodeSize() for k in range(found.size())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_best_category_of_a_column(spark):
+    scores = [[(0, "A"), (2, "B"), (2, "C")], [(0, "Z"), (0, "A")], [(-1, "A")], [], None]
+    df = spark.createDataFrame([(s,) for s in scores], "s array<struct<score: int, category: string>>")
+    found = df.select(rules.top_of_column(F.col("s")).alias("a"), rules.top_category(F.col("s")).alias("b")).collect()
+    assert [r.a for r in found] == [r.b for r in found] == ["C", "Other", "Other", "Other", "Other"]
+
+
 def test_drafts_are_made_once_for_both_tasks(spark, tables):
     found = QUERIES["task_results_to_record"](spark, tables)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
